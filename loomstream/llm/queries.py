@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, fingerprint, quality
 from .common import table
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -20,6 +24,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprint": op1_fingerprint,
         "op7_quality": op7_quality,
         "op10_bpe": op10_bpe,
     }
