@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, quality, secrets
+from . import bpe, decontaminate, fingerprint, quality, secrets
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +33,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
+        "op3_decontaminate": op3_decontaminate,
         "op7_quality": op7_quality,
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
@@ -36,4 +41,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_decontaminate": decontaminate.ORACLE_SQL,
+    }
