@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, quality, secrets, toxicity
+from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "first")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": op3_decontaminate,
         "op6_toxicity": op6_toxicity,
         "op7_quality": op7_quality,
+        "op8_neardup": op8_neardup,
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
     }
