@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, toxicity
+from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, sitetree, toxicity
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extracted(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
         "op3_decontaminate": op3_decontaminate,
+        "op4_site_style_tree": op4_site_style_tree,
         "op6_toxicity": op6_toxicity,
         "op7_quality": op7_quality,
         "op8_neardup": op8_neardup,
