@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, sitetree, toxicity
+from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, sharding, sitetree, toxicity
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placements(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
+        "op2_sharding": op2_sharding,
         "op3_decontaminate": op3_decontaminate,
         "op4_site_style_tree": op4_site_style_tree,
         "op6_toxicity": op6_toxicity,
