@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, neardup, quality, secrets, sharding, sitetree, toxicity
+from . import bpe, decontaminate, fingerprint, neardup, pitmanyor, quality, secrets, sharding, sitetree, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.extracted(table(spark, sf_dir, "pages"))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sharding": op2_sharding,
         "op3_decontaminate": op3_decontaminate,
         "op4_site_style_tree": op4_site_style_tree,
+        "op5_pitman_yor": op5_pitman_yor,
         "op6_toxicity": op6_toxicity,
         "op7_quality": op7_quality,
         "op8_neardup": op8_neardup,
