@@ -45,7 +45,7 @@ class Params:
     max_rows: int = 20_000  # labelled rows to learn from, those with the smallest hash of doc_id
     max_terms: int = 1024
     least_rows: int = 5  # toxic rows that a term occurs in
-    significance: float = 5.0  # standard errors by which a term's log odds exceed the mean
+    significance: float = 4.0  # root of the likelihood ratio of a term's share of toxic rows
     k: int = 15
     block: int = 64
     calibration: int = 3000  # examples whose votes fit the curve
@@ -80,7 +80,9 @@ def chosen_terms(sample: DataFrame, params: Params) -> list[str]:
     if total is None or not total["neg"] or not total["pos"]:
         return []
     odds = F.log((F.col("pos") + 0.5) / total["pos"]) - F.log((F.col("neg") + 0.5) / total["neg"])
-    z = odds / F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    share = total["pos"] / (total["pos"] + total["neg"])
+    part = lambda k, p: F.when(k > 0, k * F.log(k / ((F.col("pos") + F.col("neg")) * p))).otherwise(F.lit(0.0))
+    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (part(F.col("pos"), share) + part(F.col("neg"), 1 - share))))  # root of the likelihood ratio
     best = counts.where(F.col("term").isNotNull() & (F.col("pos") >= params.least_rows) & (z >= params.significance) & (odds >= 0.7))
     return [r.term for r in best.orderBy(F.desc(z), "term").limit(params.max_terms).select("term").collect()]
 
