@@ -9,10 +9,8 @@ from ..sources.schemas import KEY, OHLC
 
 
 def new_bars(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Bars of the batch whose key is not stored. The store is cut to the batch's time range, which prunes its partitions."""
-    span = batch.agg(F.min("bar_ts").alias("lo"), F.max("bar_ts").alias("hi"))  # one row
-    near = stored.select(*KEY).join(F.broadcast(span), F.col("bar_ts").between(F.col("lo"), F.col("hi"))).select(*KEY)
-    return batch.join(near, list(KEY), "left_anti")
+    """Bars of the batch whose key is not stored."""
+    return batch.join(stored.select(*KEY), list(KEY), "left_anti")
 
 
 def new_bars_window(batch: DataFrame, stored: DataFrame, start: str, end: str) -> DataFrame:

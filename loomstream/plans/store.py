@@ -27,6 +27,10 @@ def partition_date() -> Column:
     return F.when(F.col("ivl").isin("d", "w", "m"), F.date_format("bar_ts", "yyyy-MM")).otherwise(F.date_format("bar_ts", "yyyy-MM-dd"))
 
 
+#: Partitions of a batch up to which a filter names them.
+MOST_LISTED = 2000
+
+
 class BarStore:
     """Bars under a path; ``ivl`` and ``dt`` are partition columns."""
 
@@ -46,8 +50,8 @@ class BarStore:
         return self.read().drop("dt")
 
     def _write(self, rows: DataFrame, mode: str) -> None:
-        # rows of a partition meet in one task per partition date and symbol range, so files stay large
-        rows.repartition("ivl", "dt").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ivl", "dt").parquet(self.path)
+        # rows of a partition come together, so files stay large, and a large partition is split at run time
+        rows.hint("rebalance", "ivl", "dt").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ivl", "dt").parquet(self.path)
 
     def conform(self, batch: DataFrame) -> DataFrame:
         """The batch with all columns of the store, and its partition date."""
@@ -55,11 +59,21 @@ class BarStore:
         own = [F.col(n).cast(t).alias(n) if n in batch.columns else F.lit(None).cast(t).alias(n) for n, t in types.items()]
         return batch.select(*own).withColumn("dt", partition_date())
 
+    def touched(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the batch's partitions: by a filter that prunes the scan, or by a join where they are too many to list."""
+        parts = batch.select("ivl", "dt").distinct()
+        listed = parts.limit(MOST_LISTED + 1).collect()
+        if len(listed) > MOST_LISTED:
+            return self.read().join(parts, ["ivl", "dt"], "left_semi")
+        wanted = F.lit(False)
+        for ivl in {r.ivl for r in listed}:
+            wanted = wanted | ((F.col("ivl") == ivl) & F.col("dt").isin([r.dt for r in listed if r.ivl == ivl]))
+        return self.read().where(wanted)
+
     def upsert(self, batch: DataFrame) -> None:
         """The last write wins on (symbol, ivl, bar_ts). Only partitions that the batch touches are read and replaced."""
         new = self.conform(batch).withColumn("__seq", F.lit(1))
-        touched = new.select("ivl", "dt").distinct()
-        old = self.read().join(F.broadcast(touched), ["ivl", "dt"], "left_semi").withColumn("__seq", F.lit(0))  # a row for each partition
+        old = self.touched(new).withColumn("__seq", F.lit(0))
         merged = last_write(old.unionByName(new), "__seq", "created_at").drop("__seq")
         staged = scratch_dir(self.spark)  # what is read is not overwritten
         merged.write.parquet(staged)
@@ -67,7 +81,8 @@ class BarStore:
 
     def insert_new(self, batch: DataFrame) -> None:
         """Appends rows whose key is not stored; a correction of a stored bar is not applied."""
-        fresh = new_bars(self.conform(batch), self.bars())
+        new = self.conform(batch)
+        fresh = new_bars(new, self.touched(new))
         staged = scratch_dir(self.spark)
         fresh.write.parquet(staged)
         self._write(self.spark.read.schema(fresh.schema).parquet(staged), "append")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,16 @@ def test_corrections_in_both_modes(spark, bars):
         assert sorted((r.bar_ts.month, r.close) for r in store.bars().collect()) == [(1, close), (2, 2)]
 
 
+def test_store_prunes_partitions(spark, bars, monkeypatch):
+    store = st.BarStore(spark, st.scratch_dir(spark))
+    store.upsert(bars(*[("A", "d", f"2024-0{m}-02 00:00:00", P, m) for m in range(1, 9)], ("A", "1h", "2024-01-02 03:00:00", P, 1)))
+    batch = store.conform(bars(("B", "d", "2024-03-09 00:00:00", P, 1)))
+    near = store.touched(batch)
+    assert near.count() == 1 and re.search(r"PartitionFilters: \[[^]]*2024-03", near._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(st, "MOST_LISTED", 0)
+    assert store.touched(batch).count() == 1
+
+
 def test_coverage_of_one_day(spark):
     def cov(when, n):
         return spark.createDataFrame([("A", "d", when, n, when, when)], "symbol string, ivl string, u string, total_records long, s string, e string").select("symbol", "ivl", F.col("u").cast("timestamp").alias("last_updated"), "total_records", F.col("s").cast("timestamp").alias("data_start"), F.col("e").cast("timestamp").alias("data_end"))
