@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a minimal acyclic transducer of frequent words.
 
-The most frequent words of all documents (``Params.words``, a bound on what is
-broadcast) are compiled into a minimal acyclic automaton with shared suffixes.
+The most frequent words of all documents (at most ``Params.words``, which bounds what
+is broadcast) are compiled into a minimal acyclic automaton with shared suffixes.
 Arcs carry additive outputs whose sum along a word is the word's number; a table
 gives the number's ids. The automaton is a flat file that every Python worker
 memory-maps. A batch's distinct words walk it together, one byte a step; words
@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, texts
+from .common import prepare, saved, texts
 
 FORMAT = np.dtype("<i4")
 
@@ -369,11 +369,27 @@ def word_counts(docs: DataFrame, params: Params = Params()) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequency_class(n):
+    """Counts below 1024 as they are, larger ones in 64ths of a doubling: few classes whatever the corpus."""
+    return F.when(n < 1024, n).otherwise(F.floor(64 * F.log2(n)) + 384).cast("long")
+
+
 def frequent_lexicon(docs: DataFrame, params: Params = Params()) -> bytes:
-    """The compiled lexicon of the most frequent words; ties go to the smaller word."""
+    """The compiled lexicon of the most frequent words, those that occur once left out.
+
+    Whole frequency classes are taken from the top while they fit the bound, so no
+    more rows than the bound reach the driver, from however many partitions.
+    """
     v = vocabulary(tokenizer_path(params))
-    top = word_counts(docs, params).orderBy(F.desc("n"), "word").limit(params.words).select("word").toPandas()
-    words = [w for w in top["word"] if w not in v.added]
+    counts = saved(word_counts(docs, params).where("n > 1").withColumn("class", frequency_class(F.col("n"))))
+    least, room = None, params.words
+    for r in sorted(counts.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["class"]
+    top = [] if least is None else [r["word"] for r in counts.where(F.col("class") >= least).select("word").collect()]
+    words = sorted(w for w in top if w not in v.added)
     return compile_lexicon(words, merge_words(words, v))
 
 
