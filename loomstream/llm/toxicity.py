@@ -22,6 +22,7 @@ neither read nor returned.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -62,6 +63,31 @@ def terms_of(text: str) -> Counter:
     return out
 
 
+class Finder:
+    """Finds given terms in texts without counting any others."""
+
+    def __init__(self, place: dict[str, int]):
+        self.place = place
+        tables = [(k, {t[1:]: i for t, i in place.items() if t[0] == "^" and len(t) == k + 1}) for k in BEGINNINGS]
+        self.beginnings = [(k, t) for k, t in tables if t]
+
+    def __call__(self, text: str) -> tuple[dict[int, int], int]:
+        """How often each term occurs, by its place, and the number of words that are no term."""
+        found: dict[int, int] = {}
+        other = 0
+        get, beginnings = self.place.get, self.beginnings
+        for w, n in Counter(WORD.findall(text.lower())).items():
+            d = get(w)
+            if d is None:
+                other += n
+            else:
+                found[d] = found.get(d, 0) + n
+            for k, table in beginnings:
+                if len(w) > k and (d := table.get(w[:k])) is not None:
+                    found[d] = found.get(d, 0) + n
+        return found, other
+
+
 def chosen_terms(sample: DataFrame, params: Params) -> list[str]:
     """The terms that are significantly more frequent in toxic rows."""
 
@@ -89,14 +115,15 @@ def chosen_terms(sample: DataFrame, params: Params) -> list[str]:
 
 def document_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
     """In how many documents each term occurs, and the number of documents last."""
-    place = {t: i for i, t in enumerate(terms)}
+    find = Finder({t: i for i, t in enumerate(terms)})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(len(place) + 1, np.int64)
+        n = np.zeros(len(terms) + 1, np.int64)
         for b in batches:
             for text in b["text"]:
                 n[-1] += 1
-                n[[place[t] for t in terms_of(text).keys() & place.keys()]] += 1
+                for d in find(text)[0]:
+                    n[d] += 1
         yield pd.DataFrame({"i": np.arange(len(n)), "n": n})
 
     rows = texts(docs).select("text").mapInPandas(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
@@ -122,13 +149,15 @@ class Index:
     postings: list = field(default_factory=list)  # of each term: places in it where blocks begin, examples, weights
     tops: np.ndarray = field(default_factory=lambda: np.zeros((1, 0)))  # term x block
     seen: dict = field(default_factory=dict)
+    find: Finder | None = None
 
     def vector(self, text: str) -> tuple[tuple[int, ...], tuple[float, ...]]:
         """Dimensions and weights of the unit vector of a text."""
-        terms = terms_of(text)
-        found = sorted((self.place[t], terms[t]) for t in terms.keys() & self.place.keys())
-        dims = [d for d, _ in found] + [len(self.place)]
-        w = np.array([np.log1p(n) * self.idf[d] for d, n in found] + [np.log1p(sum(v for t, v in terms.items() if t[0] != "^" and t not in self.place)) + 1e-3])
+        if self.find is None:
+            self.find = Finder(self.place)
+        found, other = self.find(text)
+        dims = [*sorted(found), len(self.place)]
+        w = np.array([math.log1p(found[d]) * self.idf[d] for d in dims[:-1]] + [math.log1p(other) + 1e-3])
         return tuple(dims), tuple((w / np.sqrt(w @ w)).round(6).tolist())
 
     def build(self, vectors: list[tuple]) -> None:
