@@ -8,9 +8,15 @@
    which happens with about J ** picks for texts whose shingles have the Jaccard
    similarity J in the same order: at 0.8, all of 24 sketches of 4 fail with a
    chance of 3e-6.
-3. Texts that meet are linked in stars, not in all pairs: each with the smallest
-   text of its bucket. Where a bucket still holds several classes, more stars
-   follow with other centres, chosen by a hash that differs by bucket.
+   Texts of few shingles also meet by their smallest shingles, as many as any
+   similar text must share one of (a prefix filter), so none of those is missed.
+3. Texts that meet are first linked in stars: each with the smallest text of its
+   bucket; where a bucket still holds several classes, more stars follow with other
+   centres, chosen by a hash that differs by bucket. Then every pair of different
+   classes that still shares a bucket is compared, in tiles of two blocks of a
+   bucket: by histograms of the shingles, whose distance never exceeds the number of
+   shingles that only one text has, and if that leaves a chance, by alignment, the
+   nearest pair of each text first, as their links settle most others.
 4. A link holds if a banded alignment of the two sequences of labelled shingles
    (their longest common subsequence within the band that the threshold allows)
    matches M shingles with M / (n1 + n2 - M) >= 0.8. The multisets are compared
@@ -47,7 +53,9 @@ class Params:
     sketches: int = 24
     picks: int = 4
     threshold: float = THRESHOLD
-    rounds: int = 3  # of stars
+    rounds: int = 3  # of stars, before the rest is compared pair by pair
+    short: int = 12  # shingles up to which a prefix filter joins the sketches
+    block: int = 512  # texts of a bucket that a task holds from each side
 
 
 def words_of(text: str) -> list[str]:
@@ -120,6 +128,21 @@ def sketch(s: np.ndarray, params: Params) -> np.ndarray:
     return out
 
 
+def prefix(s: np.ndarray, params: Params) -> np.ndarray:
+    """The smallest shingles of a short text: one of them is shared by any text at the threshold."""
+    if len(s) > params.short:
+        return s[:0]
+    return np.sort(s)[: len(s) - int(np.ceil(params.threshold * len(s) - 1e-9)) + 1]
+
+
+BINS = 256
+
+
+def histogram(s: np.ndarray) -> bytes:
+    """Counts of the shingles in bins of their hash, capped: capping only lessens the distance of two."""
+    return np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS), 65535).astype("<u2").tobytes()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     """M / (n1 + n2 - M) of a banded alignment, 0 where it can't reach the threshold."""
     if len(a) > len(b):
@@ -161,29 +184,106 @@ def sketched(docs: DataFrame, params: Params) -> DataFrame:
             for text in b["text"]:
                 words = words_of(text)
                 keys.append(text_key(words))
-                out.append(sketch(labelled_shingles(words, known), params).view(np.int64))
+                s = labelled_shingles(words, known)
+                out.append(np.concatenate([sketch(s, params), prefix(s, params)]).view(np.int64))
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": keys, "sketches": out})
 
     return texts(docs).mapInPandas(run, "doc_id long, key string, sketches array<long>")
 
 
+def classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The rows with the ``class`` of their id, which is the id itself as long as it has no link."""
+    if found is None:
+        return rows.withColumn("class", F.col("id"))
+    return rows.join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
+
+
 def stars(buckets: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
     """Links (a, b) from each text of a bucket to the bucket's centre of another class; a < b.
 
     ``buckets``: bucket, id; ``found``: id, class of the texts that have one so far.
     The centre is one smallest value, so a bucket of any size is only counted, not gathered.
     """
-    own = buckets
-    if found is not None:
-        own = own.join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
-    else:
-        own = own.withColumn("class", F.col("id"))
+    own = classed(buckets, found)
     rank = F.col("id") if turn == 0 else F.xxhash64("id", "bucket", F.lit(turn))
     centre = own.groupBy("bucket").agg(F.min(F.struct(rank.alias("r"), "id", "class")).alias("c"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     pairs = own.join(centre.select("bucket", F.col("c.id").alias("other"), F.col("c.class").alias("other_class")), "bucket").where(F.col("class") != F.col("other_class"))
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
+def unsettled(buckets: DataFrame, found: DataFrame | None, docs: DataFrame, params: Params) -> DataFrame:
+    """a, b, far: the pairs of different classes that share a bucket and may reach the threshold, as far as histograms tell; a < b.
+
+    A bucket's texts are dealt to blocks, and each pair of blocks is a tile, so that a task holds two blocks and only pairs
+    that pass are sent on. Buckets of two texts are left out: the first star is their only pair.
+    """
+    own = classed(buckets, found)
+    several = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")).where("lo < hi and n > 2")
+    once = several.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))  # buckets of the same texts are one
+    open_rows = saved(own.join(once.select("bucket", F.ceil(F.col("n") / params.block).cast("int").alias("blocks")), "bucket"))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        for b in batches:
+            seqs = [labelled_shingles(words_of(t), known) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "size": [len(s) for s in seqs], "bins": [histogram(s) for s in seqs]})
+
+    measured = saved(docs.join(open_rows.select("id").distinct(), "id", "left_semi").select("id", "text").mapInPandas(measure, "id long, size long, bins binary"))
+    dealt = open_rows.withColumn("p", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "id", "class")
+    tiles = tiles.join(measured, "id").select("bucket", "i", "j", "p", "id", "class", "size", "bins").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    share = (1 - params.threshold) / (1 + params.threshold)  # of both sizes, that may be in one text only
+
+    def compare(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        i, j, p = int(tile["i"].iloc[0]), int(tile["j"].iloc[0]), tile["p"].to_numpy()
+        ids, cls, size = tile["id"].to_numpy(), tile["class"].to_numpy(), tile["size"].to_numpy()
+        bins = np.frombuffer(b"".join(tile["bins"]), "<u2").reshape(-1, BINS).astype(np.int32)
+        right = np.flatnonzero(p == j)
+        for k, left in enumerate(np.flatnonzero(p == i).tolist()):
+            others = right[k + 1 :] if i == j else right
+            total = size[others] + size[left]
+            others = others[(cls[others] != cls[left]) & (np.abs(size[others] - size[left]) <= share * total + 1e-6)]
+            if len(others):
+                apart = np.abs(bins[others] - bins[left]).sum(axis=1) / (size[others] + size[left])
+                near = apart <= share + 1e-9
+                if near.any():
+                    x = ids[others[near]]
+                    yield np.minimum(x, ids[left]), np.maximum(x, ids[left]), apart[near]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def tiles_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts: list[pd.DataFrame] = []
+            last = None
+            for b in batches:
+                if not len(b):
+                    continue
+                at = b[["bucket", "i", "j"]].to_numpy()
+                cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(b)]
+                for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                    key = tuple(at[lo])
+                    if key != last and parts:
+                        yield pd.concat(parts) if len(parts) > 1 else parts[0]
+                        parts = []
+                    last = key
+                    parts.append(b.iloc[lo:hi])
+            if parts:
+                yield pd.concat(parts) if len(parts) > 1 else parts[0]
+
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
+        for tile in tiles_of(batches):
+            for found_here in compare(tile):
+                out.append(found_here)
+                held += len(found_here[0])
+                if held > 100_000:
+                    yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(("a", "b", "far"), zip(*out, strict=True), strict=True)})
+                    out, held = [], 0
+        if out:
+            yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(("a", "b", "far"), zip(*out, strict=True), strict=True)})
+
+    return tiles.mapInPandas(run, "a long, b long, far double").dropDuplicates(["a", "b"])
+
+
 #: Texts up to which those that take part in a link are picked by a broadcast; beyond, by a shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -245,7 +345,8 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     # a text's id is a hash of its key, so texts that share a doc_id, or have none, stay apart
     same = every.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.first("sketches").alias("sketches"))
     same = saved(same.select("key", "smallest", F.xxhash64("key").alias("id"), "sketches"))
-    rows = same.select("id", F.posexplode("sketches").alias("i", "h")).select("id", F.xxhash64("i", "h").alias("bucket"))
+    # what follows the sketches is the prefix, in which places don't count
+    rows = same.select("id", F.posexplode("sketches").alias("i", "h")).select("id", F.xxhash64(F.least("i", F.lit(params.sketches)), "h").alias("bucket"))
     shared = rows.groupBy("bucket").count().where("count > 1").select("bucket")
     buckets = saved(rows.join(shared, "bucket"))
     taking_part = saved(texts_of(docs, saved(same.drop("sketches").join(buckets.select("id").distinct(), "id", "left_semi"))))
@@ -261,6 +362,19 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         good = saved(verified(new, taking_part, params))
         links = good if links is None else links.unionByName(good)
         found = components(links)
+    if tried is not None:
+        rest = saved(unsettled(buckets, found, taking_part, params).join(tried, ["a", "b"], "left_anti"))
+        ends = rest.select(F.col("a").alias("id"), "*").unionByName(rest.select(F.col("b").alias("id"), "*"))
+        nearest = saved(ends.groupBy("id").agg(F.min(F.struct("far", "a", "b")).alias("n")).select("n.a", "n.b").distinct())
+        if not nearest.isEmpty():
+            links = links.unionByName(saved(verified(nearest, taking_part, params)))
+            found = components(links)
+            of = found.select("id", "class")
+            left = rest.join(nearest, ["a", "b"], "left_anti").join(of.select(F.col("id").alias("a"), F.col("class").alias("ca")), "a", "left").join(of.select(F.col("id").alias("b"), F.col("class").alias("cb")), "b", "left")
+            left = saved(left.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+            if not left.isEmpty():
+                links = links.unionByName(saved(verified(left, taking_part, params)))
+                found = components(links)
     final = same.select("key", "smallest", "id", F.col("id").alias("class"))
     if found is not None:
         final = final.drop("class").join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))

@@ -79,3 +79,24 @@ def test_recall_on_table(spark):
     got = {r.doc_id: r.class_id for r in nd.classes(docs).collect()}
     assert got == dict(brute(rows)) and len(set(got.values())) < len(got)
     assert np is not None
+
+
+def test_hub_of_unlike_copies(spark):
+    """Edited copies that are near the same text, and none near another, are one class; so are short texts."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(204)]
+    rows = [(1000, " ".join(base))]
+    for i in range(300):
+        words = list(base)
+        for at in rng.sample(range(0, 204, 6), 4):
+            words[at + rng.randrange(5)] = f"x{i}.{at}"
+        rows.append((i, " ".join(words)))
+    licence = [f"l{i}" for i in range(300)]
+    rows += [(2000 + i, " ".join(licence[: 250 + i % 3] + [f"y{i // 2}.{k}" for k in range(90 + i % 2)])) for i in range(60)]
+    short = [[f"s{g}.{k}" for k in range(9)] for g in range(400)]
+    rows += [(3000 + 2 * g + k, " ".join(w[: 9 - k])) for g, w in enumerate(short) for k in range(2)]
+    got = {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(rows, "doc_id long, text string"), nd.Params(block=64)).collect()}
+    hub = [r for r in rows if r[0] < 2000]
+    assert got == dict(brute(hub) + brute([r for r in rows if 2000 <= r[0] < 3000]) + [(3000 + 2 * g + k, 3000 + 2 * g) for g in range(400) for k in range(2)])
+    seqs = [nd.labelled_shingles(nd.words_of(t), {}) for _, t in hub]
+    assert sum(nd.aligned(seqs[1], s, 0.8) > 0 for s in seqs[2:]) < 30 and {got[d] for d, _ in hub} == {0}
