@@ -5,14 +5,18 @@ The pages of a host are merged into one style tree: a node is the path of styles
 under it are its features. A block's spread over the host's pages is an entropy
 between 0 (one page) and 1 (evenly on all pages that have the node); a node's
 importance is one minus the mean entropy of its blocks. Menus and notices that a
-host repeats are of low importance, articles of high.
+host repeats are of low importance, articles of high. Pages of one host with equal
+blocks count as one page, so that copies of an article do not make it a template.
 
 A page loses three kinds of branch: what is never content (scripts, styles, forms,
 headers, footers, menus, asides, and classes or roles that say so); then, if the
 page marks an article or main part, all that is outside; then nodes of low
-importance, on hosts with enough pages, unless nothing else would be left.
+importance, on hosts with enough pages, unless nothing else would be left. In an
+article or main part, a branch that keeps any text keeps its headings, lists,
+tables and quotes too, though the host repeats them.
 
-Two passes: the first sums, per host, node and block, how often pages have the
+Two passes: the first sends the hashes of each page's nodes and blocks, leaves one
+page of each content, and sums per host, node and block how often pages have the
 block (sums that are combined before the shuffle, so that a host of any size is
 spread); the second gets only the list of low nodes of each host, and cleans each
 page where it is. Html is not shuffled.
@@ -158,7 +162,7 @@ def blocks_of(html: str) -> tuple[list[tuple[str, str]], bool]:
             if tag in VOID:
                 continue
             attrs = attributes(raw)
-            style = tag + ("." + ".".join(sorted(attrs["class"].split())) if attrs.get("class") else "")
+            style = tag.replace("/", "|") + ("." + ".".join(sorted(attrs["class"].replace("/", "|").split())) if attrs.get("class") else "")
             inline = tag not in BLOCKS
             here = path if inline else f"{path}/{style}"
             if inline is False and path.endswith(f"/{style}"):
@@ -188,22 +192,25 @@ def low_nodes(pages: DataFrame, params: Params = Params()) -> DataFrame:
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sums: dict[tuple[str, int, int], list[float]] = {}
+            seen: dict[tuple[str, str], list[tuple[int, int, int]]] = {}
             for host, html in zip(b["host"], b["html"], strict=True):
+                blocks = blocks_of(html)[0]
+                content = hashlib.blake2b("\n".join(f"{p}\t{t}" for p, t in blocks).encode("utf-8", "replace"), digest_size=16).hexdigest()
+                if (host, content) in seen:
+                    continue
                 own: dict[tuple[int, int], int] = {}
-                for path, text in blocks_of(html)[0]:
-                    key = node_key(path), node_key(text)
+                for path, text in blocks:
+                    key = node_key(path), node_key(text) or 1
                     own[key] = own.get(key, 0) + 1
-                for node in {n for n, _ in own}:
-                    sums.setdefault((host, node, 0), [0.0, 0.0, 0])[2] += 1
-                for (node, block), n in own.items():
-                    s = sums.setdefault((host, node, block or 1), [0.0, 0.0, 0])
-                    s[0] += n
-                    s[1] += n * np.log(n)
-            yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=["host", "node", "block", "f", "flogf", "pages"])
-
-    rows = pages.select("host", "html").mapInPandas(features, "host string, node long, block long, f double, flogf double, pages long")
-    sums = rows.groupBy("host", "node", "block").agg(F.sum("f").alias("f"), F.sum("flogf").alias("flogf"), F.sum("pages").alias("pages"))
+                seen[host, content] = [(n, 0, 0) for n in {n for n, _ in own}] + [(n, t, k) for (n, t), k in own.items()]
+            columns = [[[r[i] for r in v] for v in seen.values()] for i in range(3)]
+            yield pd.DataFrame({"host": [h for h, _ in seen], "content": [c for _, c in seen], "node": columns[0], "block": columns[1], "n": columns[2]})
+
+    # equal contents have equal features, so it does not matter which page of them is left
+    distinct = pages.select("host", "html").mapInPandas(features, "host string, content string, node array<long>, block array<long>, n array<long>").dropDuplicates(["host", "content"])
+    rows = distinct.select("host", F.explode(F.arrays_zip("node", "block", "n")).alias("r")).select("host", "r.node", "r.block", F.col("r.n").cast("double").alias("n"))
+    flogf = F.when(F.col("n") > 0, F.col("n") * F.log("n")).otherwise(0.0)
+    sums = rows.groupBy("host", "node", "block").agg(F.sum("n").alias("f"), F.sum(flogf).alias("flogf"), F.sum((F.col("block") == 0).cast("long")).alias("pages"))
     # the entropy of a block's pages, before it is divided by the logarithm of the node's pages
     spread = F.when(F.col("block") != 0, F.log("f") - F.col("flogf") / F.col("f"))
     nodes = sums.groupBy("host", "node").agg(F.avg(spread).alias("spread"), F.max("pages").alias("m"))
@@ -211,10 +218,23 @@ def low_nodes(pages: DataFrame, params: Params = Params()) -> DataFrame:
     return low.groupBy("host").agg(F.collect_list("node").alias("low"))
 
 
+#: Parts of running text: they belong to the branch that they stand in.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol li dl dt dd table caption thead tbody tfoot tr th td figure figcaption".split())
+
+
+def branch_of(path: str) -> str:
+    """The path without the parts of running text at its end."""
+    while path and path[path.rfind("/") + 1 :].split(".", 1)[0] in TEXTUAL:
+        path = path[: path.rfind("/")]
+    return path
+
+
 def main_text(html: str, low: set[int]) -> str:
-    blocks, _ = blocks_of(html)
+    blocks, marked = blocks_of(html)
     if low and blocks:
-        kept = [t for p, t in blocks if node_key(p) not in low]
+        high = {p for p, _ in blocks if node_key(p) not in low}
+        branches = {branch_of(p) for p in high} if marked else set()
+        kept = [t for p, t in blocks if p in high or (branch_of(p) != p and branch_of(p) in branches)]
         if kept:
             return " ".join(kept)
     return " ".join(t for _, t in blocks)

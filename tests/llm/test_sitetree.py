@@ -46,3 +46,16 @@ def test_join_without_broadcast(spark, monkeypatch):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     monkeypatch.setattr(st, "BROADCAST_ROWS", 1)
     assert {r.page_id: r.text for r in st.extracted(df).collect()} == {i: f"Story {i}" for i in range(60)}
+
+
+def test_repeated_parts_of_articles_stay(spark):
+    """Lists and headings stay in copied articles and where a host repeats them in each article; repeated boxes go."""
+    copied = "<article><h2>Once</h2><p>One text</p><ul><li>first</li><li>second</li></ul></article>"
+    rows = [(i, f"http://c.example/{i}", copied if i < 12 else f"<article><p>Other text {i}</p></article>") for i in range(40)]
+    rows += [(100 + i, f"http://r.example/{i}", f"<article><h2>What you need</h2><p>Recipe {i}</p><div class='box'>Join us</div></article>") for i in range(20)]
+    plain = "<div class='box'>Same</div><div class='body'><h2>Once</h2><p>One text</p><ul><li>first</li></ul></div>"
+    rows += [(200 + i, f"http://p.example/{i}", plain if i < 12 else f"<div class='box'>Same</div><div class='body'><p>Story {i}</p></div>") for i in range(40)]
+    got = {r.page_id: r.text for r in st.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == ("Once One text first second" if i < 12 else f"Other text {i}") for i in range(40))
+    assert all(got[100 + i] == f"What you need Recipe {i}" for i in range(20))
+    assert all(got[200 + i] == ("Once One text first" if i < 12 else f"Story {i}") for i in range(40))
