@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import bounded_broadcast, prepare, saved, texts
+from .common import bounded_broadcast, heavy_keys, prepare, saved, spread_join, texts
 
 WORDS, THRESHOLD = 5, 0.8
 
@@ -53,7 +53,7 @@ class Params:
     sketches: int = 24
     picks: int = 4
     threshold: float = THRESHOLD
-    rounds: int = 3  # of stars, before the rest is compared pair by pair
+    rounds: int = 2  # of stars, before the rest is compared pair by pair
     short: int = 12  # shingles up to which a prefix filter joins the sketches
     block: int = 512  # texts of a bucket that a task holds from each side
 
@@ -175,7 +175,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
 
 
 def sketched(docs: DataFrame, params: Params) -> DataFrame:
-    """``doc_id``, ``key`` of the words, and the sketches, for every document."""
+    """``doc_id``, ``key`` of the words, the sketches, and ``row`` (a place in the batch), for every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -186,9 +186,9 @@ def sketched(docs: DataFrame, params: Params) -> DataFrame:
                 keys.append(text_key(words))
                 s = labelled_shingles(words, known)
                 out.append(np.concatenate([sketch(s, params), prefix(s, params)]).view(np.int64))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "key": keys, "sketches": out})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "key": keys, "sketches": out, "row": np.arange(len(b), dtype=np.int32)})
 
-    return texts(docs).mapInPandas(run, "doc_id long, key string, sketches array<long>")
+    return texts(docs).mapInPandas(run, "doc_id long, key string, sketches array<long>, row int")
 
 
 def classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -198,16 +198,17 @@ def classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     return rows.join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
 
 
-def stars(buckets: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
+def stars(buckets: DataFrame, heavy: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
     """Links (a, b) from each text of a bucket to the bucket's centre of another class; a < b.
 
-    ``buckets``: bucket, id; ``found``: id, class of the texts that have one so far.
+    ``buckets``: bucket, id; ``heavy``: those of many texts; ``found``: id, class of the texts that have one so far.
     The centre is one smallest value, so a bucket of any size is only counted, not gathered.
     """
     own = classed(buckets, found)
     rank = F.col("id") if turn == 0 else F.xxhash64("id", "bucket", F.lit(turn))
     centre = own.groupBy("bucket").agg(F.min(F.struct(rank.alias("r"), "id", "class")).alias("c"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-    pairs = own.join(centre.select("bucket", F.col("c.id").alias("other"), F.col("c.class").alias("other_class")), "bucket").where(F.col("class") != F.col("other_class"))
+    centre = centre.select("bucket", F.col("c.id").alias("other"), F.col("c.class").alias("other_class"))
+    pairs = spread_join(own, centre, "bucket", ["id"], heavy).where(F.col("class") != F.col("other_class"))
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
@@ -289,8 +290,9 @@ BROADCAST_ROWS = 300_000
 
 
 def verified(links: DataFrame, docs: DataFrame, params: Params) -> DataFrame:
-    """The links whose texts align. ``docs``: id, text of the texts that take part in any."""
-    pairs = links.join(docs.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(docs.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    """The links whose texts align. ``docs``: id, text of the texts that take part in any. A text of many links is sent to several tasks."""
+    pairs = spread_join(links, docs.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a", ["b"], heavy_keys(links, "a"))
+    pairs = spread_join(pairs, docs.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b", ["a"], heavy_keys(links, "b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -313,9 +315,10 @@ def verified(links: DataFrame, docs: DataFrame, params: Params) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id``, ``class``: the smallest id of each connected component, for the ids that have a link."""
     edges = saved(links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select(F.col("b"), F.col("a"))))
+    hubs = saved(heavy_keys(edges, "to"))
     label = edges.groupBy("id").agg(F.least("id", F.min("to")).alias("class"))
     while True:
-        near = edges.join(label.select(F.col("id").alias("to"), "class"), "to").groupBy("id").agg(F.min("class").alias("near"))
+        near = spread_join(edges, label.select(F.col("id").alias("to"), "class"), "to", ["id"], hubs).groupBy("id").agg(F.min("class").alias("near"))
         step = label.join(near, "id").select("id", F.least("class", "near").alias("class"), F.col("class").alias("old"))
         root = label.select(F.col("id").alias("class"), F.col("class").alias("root"))
         step = saved(step.join(root, "class", "left").select("id", F.least("class", F.coalesce("root", "class")).alias("class"), "old"))
@@ -350,9 +353,10 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     shared = rows.groupBy("bucket").count().where("count > 1").select("bucket")
     buckets = saved(rows.join(shared, "bucket"))
     taking_part = saved(texts_of(docs, saved(same.drop("sketches").join(buckets.select("id").distinct(), "id", "left_semi"))))
+    heavy = saved(heavy_keys(buckets, "bucket"))
     links = tried = found = None
     for turn in range(params.rounds):
-        new = stars(buckets, found, turn)
+        new = stars(buckets, heavy, found, turn)
         if tried is not None:
             new = new.join(tried, ["a", "b"], "left_anti")
         new = saved(new)
@@ -380,7 +384,7 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         final = final.drop("class").join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
     named = final.groupBy("class").agg(F.min("smallest").alias("class_id"))
     of_key = saved(final.join(named, "class").select("key", "class_id", F.col("smallest").eqNullSafe(F.col("class_id")).alias("own")))
-    return every.select("doc_id", "key").join(of_key, "key").select("doc_id", "key", "class_id", (F.col("own") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("first"))
+    return spread_join(every.select("doc_id", "key", "row"), of_key, "key", ["doc_id", "row"]).select("doc_id", "key", "class_id", (F.col("own") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("first"))
 
 
 def first_of_each(docs: DataFrame, params: Params = Params()) -> DataFrame:
