@@ -2,19 +2,27 @@
 
 Base spans come from three patterns (``assign``, ``access``, ``hex``), leftmost
 and non-overlapping per kind. The battery adds spans of kind ``random``: runs of
-at least ``Params.shortest`` characters of the base64 alphabets whose characters
-look drawn evenly from the smallest alphabet (encoding) that holds them all.
+the base64 alphabets, of ``Params.shortest`` characters or more, that look drawn
+evenly from the smallest alphabet (encoding) that holds all their characters.
+
 Three p-values are taken for each run: chi-squared uniformity of the alphabet's
 characters, the number of runs above and below the alphabet's middle, and serial
 correlation of neighbours. Fisher's method joins them. Words and other text fail
-these tests; the Benjamini-Hochberg rule over all candidates of an encoding and
-length class rejects them at a false-discovery rate, each class being left out
-altogether where its length gives the tests too little power. Runs that are not
-rejected are reported, unless they overlap a base span.
+these tests; the Benjamini-Hochberg rule over all runs of an encoding and length
+class rejects them at a false-discovery rate, and of the others so many are taken
+for random as the evenness of their p-values explains, so that what is reported
+has a bounded share of text too. A run is reported where its length gives the
+battery power: where a run of that length whose characters repeat as often as a
+text's do would fail the uniformity test with a probability of ``Params.power``
+at least (``least_length``: 16 characters of base64, 31 of hexadecimal). Shorter
+runs are tested and rated all the same, and ``tested_runs`` returns them. Runs
+that overlap a base span are left to it.
 
 All of it is DataFrame functions: a text is cut by ``split`` at the matches that
 ``regexp_extract_all`` returns, so a match starts where the lengths of what
-stands before it add up. Offsets count code points.
+stands before it add up. Runs are stored before they are tested, and one pass
+over a run's characters gives all its sums, so work grows with their length.
+Offsets count code points.
 
 Defined results: a null or empty text has no spans (the digest of the empty
 text); rows repeat as often as they come in; a null ``doc_id`` is kept; extra
@@ -25,6 +33,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,21 +51,39 @@ KINDS = ("assign", "access", "hex", "random")
 
 @dataclass(frozen=True)
 class Params:
-    shortest: int = 20  # characters of a run that the battery tests
+    shortest: int = 16  # characters of a run that the battery tests
     rate: float = 0.05  # false-discovery rate of the rejections
+    power: float = 0.95  # chance that a text's run fails at that rate, for lengths that are reported
 
 
-#: Encodings from the smallest alphabet on: name, characters, least length of a run that the tests can judge.
+#: Encodings from the smallest alphabet on, with their characters.
 ENCODINGS = (
-    ("decimal", "0123456789", 40),
-    ("hex", "0123456789abcdef", 28),
-    ("hex_upper", "0123456789ABCDEF", 28),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 24),
-    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz", 24),
-    ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 20),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 20),
-    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 20),
+    ("decimal", "0123456789"),
+    ("hex", "0123456789abcdef"),
+    ("hex_upper", "0123456789ABCDEF"),
+    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("base36_upper", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
+#: Chance that two characters of a text are equal; in small alphabets, twice that of even characters.
+TEXT_REPEATS = 0.065
+
+
+def least_length(k: int, params: Params) -> int:
+    """Characters of an alphabet of k from which the uniformity test tells text with the power asked for."""
+    d, excess, normal = k - 1, max(TEXT_REPEATS, 2 / k) * k - 1, NormalDist()
+    limit = d * (1 - 2 / (9 * d) + normal.inv_cdf(1 - params.rate) * math.sqrt(2 / (9 * d))) ** 3
+    n = 2
+    while normal.cdf((d + n * excess - limit) / math.sqrt(2 * (d + 2 * n * excess))) < params.power:
+        n += 1
+    return n
+
+
+#: Matches whose offsets are added up together: the work is in proportion to the matches.
+STRIDE = 256
 
 
 def located(text: Column, pattern: str, matched: Column) -> Column:
@@ -64,15 +91,21 @@ def located(text: Column, pattern: str, matched: Column) -> Column:
     gaps = F.split(text, pattern, -1)
     steps = F.zip_with(matched, gaps, lambda m, g: F.struct(F.length(g).alias("g"), F.coalesce(F.length(m), F.lit(0)).alias("m")))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    return F.aggregate(
-        F.slice(steps, 1, F.size(matched)),
-        zero,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["g"] + s["m"]).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct((acc["at"] + s["g"]).alias("start"), (acc["at"] + s["g"] + s["m"]).alias("end")))).alias("spans"),
+    # offsets within each stride, then where each stride begins
+    strides = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(matched) - 1) / STRIDE).cast("int")),
+        lambda i: F.aggregate(
+            F.slice(steps, i * STRIDE + 1, F.least(F.lit(STRIDE), F.size(matched) - i * STRIDE)), zero,
+            lambda acc, s: F.struct(
+                (acc["at"] + s["g"] + s["m"]).alias("at"),
+                F.concat(acc["spans"], F.array(F.struct((acc["at"] + s["g"]).alias("start"), (acc["at"] + s["g"] + s["m"]).alias("end")))).alias("spans"),
+            ),
         ),
-        lambda acc: acc["spans"],
-    )
+    )
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int>>>").alias("out"))
+    moved = lambda spans, by: F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end")))
+    whole = F.aggregate(strides, none, lambda acc, s: F.struct((acc["at"] + s["at"]).alias("at"), F.concat(acc["out"], F.array(moved(s["spans"], acc["at"]))).alias("out")), lambda acc: F.flatten(acc["out"]))
+    return F.when(F.size(matched) > 0, whole).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -113,42 +146,50 @@ def normal_tail(z: Column) -> Column:
     return F.greatest(F.lit(1e-12), F.least(F.lit(1.0), poly * F.exp(-x * x)))
 
 
-def with_p_values(candidates: DataFrame) -> DataFrame:
-    """Adds ``encoding``, ``least``, ``n`` and the joint ``p`` to rows with a ``token``; drops tokens that fit no encoding."""
+def with_p_values(candidates: DataFrame, params: Params = Params()) -> DataFrame:
+    """Adds ``encoding``, ``n``, the joint ``p`` and whether the length gives ``power`` to rows with a ``token``; drops tokens that fit no encoding."""
     bare = F.rtrim(F.col("token"), F.lit("="))
     fits = None
-    for name, letters, least in ENCODINGS:
+    for name, letters in ENCODINGS:
         inside = F.length(F.translate(bare, letters, "")) == 0
-        one = F.struct(F.lit(name).alias("encoding"), F.lit(letters).alias("letters"), F.lit(float(len(letters))).alias("k"), F.lit(least).alias("least"))
+        one = F.struct(F.lit(name).alias("encoding"), F.lit(letters).alias("letters"), F.lit(float(len(letters))).alias("k"), F.lit(least_length(len(letters), params)).alias("least"))
         fits = F.when(inside, one) if fits is None else fits.when(inside, one)
-    df = candidates.select("*", bare.alias("bare"), fits.alias("fit")).where(F.col("fit").isNotNull())
-    df = df.select("*", "fit.*", F.length("bare").cast("double").alias("n")).where(F.col("n") >= F.col("least"))
-    codes = F.transform(F.sequence(F.lit(1), F.length("bare")), lambda i: (F.position(F.substring("bare", i, F.lit(1)), F.col("letters")) - 1).cast("double"))
-    df = df.withColumn("codes", codes)
+    df = candidates.select("*", bare.alias("bare"), fits.alias("fit")).where(F.col("fit").isNotNull() & (F.length("bare") > 1))
+    df = df.select("*", "fit.*", F.length("bare").cast("double").alias("n"))
+    count = lambda ch: (F.length("bare") - F.length(F.replace(F.col("bare"), ch, F.lit("")))).cast("double")
+    squares = F.aggregate(F.transform(F.split("letters", ""), lambda ch: count(ch) * count(ch)), F.lit(0.0), lambda acc, v: acc + v)
+    codes = F.transform(F.split("bare", ""), lambda ch: (F.position(ch, F.col("letters")) - 1).cast("long"))
+    high = lambda x: (2 * x > F.col("k") - 1).cast("long")
+    names = ("last", "first", "up", "changes", "sum", "square", "lagged")
+    zero = F.struct(F.lit(-1).cast("long").alias("last"), *[F.lit(0).cast("long").alias(c) for c in names[1:]])
+
+    def step(acc: Column, x: Column) -> Column:
+        """Adds a character's code to the sums."""
+        begun = acc["last"] >= 0
+        values = (
+            x, F.when(begun, acc["first"]).otherwise(x), acc["up"] + high(x), acc["changes"] + F.when(begun, F.abs(high(x) - high(acc["last"]))).otherwise(F.lit(0)),
+            acc["sum"] + x, acc["square"] + x * x, acc["lagged"] + F.when(begun, x * acc["last"]).otherwise(F.lit(0)),
+        )
+        return F.struct(*[v.cast("long").alias(c) for v, c in zip(values, names, strict=True)])
+
+    df = df.select("*", squares.alias("squares"), F.aggregate(codes, zero, step).alias("sums"))
     n, k = F.col("n"), F.col("k")
-    sum_of = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    left, right = lambda c: F.slice(c, 1, F.size(c) - 1), lambda c: F.slice(c, F.lit(2), F.size(c))
-
-    squares = sum_of(F.transform(F.array_distinct("codes"), lambda v: F.pow(F.size(F.filter("codes", lambda c: c == v)).cast("double"), F.lit(2.0))))
-    chi = k * squares / n - n
+    of = lambda c: F.col("sums")[c].cast("double")
+    chi = k * F.col("squares") / n - n
     cube, spread = F.pow(F.greatest(chi, F.lit(0.0)) / (k - 1), F.lit(1 / 3)), 2 / (9 * (k - 1))
     uneven = normal_tail(F.greatest(F.lit(0.0), (cube - (1 - spread)) / F.sqrt(spread)))  # Wilson and Hilferty's approximation
 
-    up = F.transform("codes", lambda c: (c > (k - 1) / 2).cast("double"))
-    n1 = sum_of(up)
-    changes = 1 + sum_of(F.zip_with(left(up), right(up), lambda x, y: F.abs(x - y)))
-    expected = 2 * n1 * (n - n1) / n + 1
+    expected = 2 * of("up") * (n - of("up")) / n + 1
     variance = (expected - 1) * (expected - 2) / (n - 1)
-    runs = F.when(variance > 0, normal_tail((changes - expected) / F.sqrt(variance))).otherwise(F.lit(1e-12))
+    runs = F.when(variance > 0, normal_tail((of("changes") + 1 - expected) / F.sqrt(variance))).otherwise(F.lit(1e-12))
 
-    mean = sum_of("codes") / n
-    centred = F.transform("codes", lambda c: c - mean)
-    power = sum_of(F.transform(centred, lambda v: v * v))
-    lagged = sum_of(F.zip_with(left(centred), right(centred), lambda x, y: x * y))
-    serial = F.when(power > 0, normal_tail(F.sqrt(n) * (lagged / power + 1 / n))).otherwise(F.lit(1e-12))
+    mean = of("sum") / n
+    power = of("square") - n * mean * mean
+    lagged = of("lagged") - mean * (2 * of("sum") - of("first") - of("last")) + (n - 1) * mean * mean
+    serial = F.when(power > 1e-9 * n, normal_tail(F.sqrt(n) * (lagged / power + 1 / n))).otherwise(F.lit(1e-12))
 
     half = -(F.log(uneven) + F.log(runs) + F.log(serial))
-    return df.withColumn("p", F.exp(-half) * (1 + half + half * half / 2)).drop("bare", "fit", "letters", "codes", "k")
+    return df.select(*candidates.columns, "encoding", "n", (F.exp(-half) * (1 + half + half * half / 2)).alias("p"), (n >= F.col("least")).alias("power"))
 
 
 #: Width of a p-value class in tenths of a decimal logarithm, and the number of classes.
@@ -164,24 +205,31 @@ def length_class(n: Column) -> Column:
     return F.floor(F.log2(n) * 8).cast("int")
 
 
+#: p-value classes of p above 0.4: there, even characters show and texts hardly do.
+EVEN_CLASSES = 4
+
+
 def false_discovery_limits(candidates: DataFrame, rate: float) -> DataFrame:
-    """The least p-value class (counted in falling p) that Benjamini-Hochberg rejects, for each encoding and length class.
+    """For each encoding and length class, the p-value class (counted in falling p) from which Benjamini-Hochberg rejects, and ``cut``.
 
+    Classes below ``cut`` are taken for random: those that are not rejected, as far as their number is explained by p-values
+    being even for random runs (Storey's estimate from the largest p-values), up to a share ``rate`` of them.
     p-values are binned, so the table has no more rows than encodings x length classes x P_CLASSES.
     """
     binned = candidates.groupBy("encoding", "lengths", "bin").agg(F.count("*").alias("m"))
-    return (
-        binned.groupBy("encoding", "lengths")
-        .agg(F.sum("m").alias("total"), F.collect_list(F.struct("bin", "m")).alias("bins"))
-        # at bin b, the p-values are 10**(-b/10) at most; those of larger bins come before
-        .select("encoding", "lengths", F.expr(f"array_min(transform(filter(bins, x -> pow(10D, -x.bin / 10D) * total <= {rate}D * aggregate(bins, 0L, (a, y) -> a + if(y.bin >= x.bin, y.m, 0L))), x -> x.bin))").alias("rejected"))
-    )
+    gathered = binned.groupBy("encoding", "lengths").agg(F.sum("m").alias("total"), F.collect_list(F.struct("bin", "m")).alias("bins"))
+    count = lambda test: f"aggregate(bins, 0L, (a, y) -> a + if({test}, y.m, 0L))"
+    # at class b, the p-values are 10**(-b/10) at most; those of larger classes come before
+    rejected = f"array_min(transform(filter(bins, x -> pow(10D, -x.bin / 10D) * total <= {rate}D * {count('y.bin >= x.bin')}), x -> x.bin))"
+    even = f"(({count(f'y.bin < {EVEN_CLASSES}')} + 1) / (1 - pow(10D, -{EVEN_CLASSES} / 10D)))"
+    below = count("y.bin < b")
+    cut = f"array_max(filter(sequence(0, coalesce(rejected, {P_CLASSES + 1})), b -> {below} - even * (1 - pow(10D, -b / 10D)) <= {rate}D * {below}))"
+    return gathered.select("*", F.expr(rejected).alias("rejected"), F.expr(even).alias("even")).select("encoding", "lengths", "rejected", F.expr(cut).alias("cut"))
 
 
 def candidate_pattern(params: Params) -> str:
-    """Runs of the base64 alphabets with a digit in them; without one it is a word."""
-    letters = r"A-Za-z+/_\-"
-    return rf"(?<![0-9{letters}])(?=[{letters}]*[0-9])[0-9{letters}]{{{params.shortest},}}={{0,2}}"
+    """Runs of the base64 alphabets, with their padding."""
+    return rf"(?<![0-9A-Za-z+/_\-])[0-9A-Za-z+/_\-]{{{params.shortest},}}={{0,2}}"
 
 
 def text_keys(text: Column) -> tuple[Column, Column]:
@@ -193,17 +241,22 @@ def text_keys(text: Column) -> tuple[Column, Column]:
 BROADCAST_ROWS = 200_000
 
 
-def random_spans(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """A row for each distinct text with runs that pass the battery: its keys and the runs' spans."""
+def tested_runs(docs: DataFrame, params: Params = Params()) -> DataFrame:
+    """A row for each run of each distinct text: keys of the text, span, token, encoding, n, p, power, whether it is rejected, and whether it is taken for random."""
     pattern = candidate_pattern(params)
     text = F.col("text")
-    found = spans_of(text, 3, pattern, lambda i, s: F.lit(True))
-    rows = texts(docs).where(text.rlike(pattern)).select("text", *text_keys(text), F.explode(found).alias("s"))
-    tokens = rows.select("k1", "k2", "s", F.expr("substring(text, s.start + 1, s.end - s.start)").alias("token")).dropDuplicates(["k1", "k2", "s"])
-    tested = saved(with_p_values(tokens).withColumn("lengths", length_class(F.col("n"))).withColumn("bin", p_class(F.col("p"))))
-    limits = false_discovery_limits(tested, params.rate)
-    kept = tested.join(F.broadcast(limits), ["encoding", "lengths"]).where(F.col("rejected").isNull() | (F.col("bin") < F.col("rejected")))
-    return kept.groupBy("k1", "k2").agg(F.collect_list("s").alias("random"))
+    matched = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.zip_with(located(text, pattern, matched), matched, lambda s, m: F.struct(F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")).alias("s"), m.alias("token")))
+    rows = texts(docs).where(text.rlike(pattern)).select(*text_keys(text), F.explode(found).alias("r"))
+    runs = saved(rows.select("k1", "k2", "r.s", "r.token").dropDuplicates(["k1", "k2", "s"]))
+    tested = saved(with_p_values(runs, params).withColumn("lengths", length_class(F.col("n"))).withColumn("bin", p_class(F.col("p"))))
+    limits = F.broadcast(false_discovery_limits(tested, params.rate))  # a row for each encoding and length class
+    return tested.join(limits, ["encoding", "lengths"]).withColumns({"rejected": F.coalesce(F.col("bin") >= F.col("rejected"), F.lit(False)), "random": F.col("power") & (F.col("bin") < F.col("cut"))})
+
+
+def random_spans(docs: DataFrame, params: Params = Params()) -> DataFrame:
+    """A row for each distinct text with runs that pass the battery: its keys and the runs' spans."""
+    return tested_runs(docs, params).where("random").groupBy("k1", "k2").agg(F.collect_list("s").alias("random"))
 
 
 def with_spans(docs: DataFrame, params: Params = Params()) -> DataFrame:

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
-
-from pyspark.sql import functions as F
+import time
+from collections import Counter, defaultdict
 
 from loomstream.llm import secrets as sc
 
@@ -74,4 +75,88 @@ def test_empty_table(spark):
 def test_main_path_is_native(spark, sf_dir):
     plan = sc.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
-    assert F is not None
+
+
+def tail(z):
+    return max(1e-12, math.erfc(abs(z) / math.sqrt(2)))
+
+
+def battery(token):
+    """Encoding, length and joint p of a run, plainly; None where no encoding holds it."""
+    bare = token.rstrip("=")
+    fit = next(((name, letters) for name, letters in sc.ENCODINGS if set(bare) <= set(letters)), None)
+    if fit is None:
+        return None
+    codes, n, k = [fit[1].index(c) for c in bare], len(bare), len(fit[1])
+    chi = sum((m - n / k) ** 2 / (n / k) for m in Counter(codes).values()) + (k - len(set(codes))) * n / k
+    spread = 2 / (9 * (k - 1))
+    uneven = tail(max(0.0, ((chi / (k - 1)) ** (1 / 3) - 1 + spread) / math.sqrt(spread)))
+    up = [2 * c > k - 1 for c in codes]
+    n1, changes = sum(up), sum(a != b for a, b in zip(up, up[1:], strict=False))
+    expected = 2 * n1 * (n - n1) / n + 1
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    runs = tail((changes + 1 - expected) / math.sqrt(variance)) if variance > 0 else 1e-12
+    mean = sum(codes) / n
+    power = sum((c - mean) ** 2 for c in codes)
+    lag = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:], strict=False))
+    serial = tail(math.sqrt(n) * (lag / power + 1 / n)) if power > 1e-9 * n else 1e-12
+    half = -(math.log(uneven) + math.log(runs) + math.log(serial))
+    return fit[0], n, math.exp(-half) * (1 + half + half * half / 2)
+
+
+def mixed_rows():
+    rng = random.Random(8)
+    letters = "etaoinshrdlucmfwypvbgkqjxz"
+    word = lambda n: "".join(letters[min(25, int(rng.expovariate(0.16)))] for _ in range(n))
+    tokens = [base64.b64encode(rng.randbytes(rng.choice([15, 24, 30]))).decode() for _ in range(60)]
+    tokens += [base64.urlsafe_b64encode(rng.randbytes(27)).decode() for _ in range(30)] + [rng.randbytes(rng.choice([9, 13, 15])).hex() for _ in range(40)]
+    tokens += [word(rng.randint(16, 40)) for _ in range(120)] + [word(9).title() + word(10).title() for _ in range(60)] + ["-".join(word(6) for _ in range(4)) for _ in range(60)]
+    tokens += [str(rng.randrange(10**24)).zfill(24) for _ in range(20)] + ["0" * 24, "ab" * 20, "Z" * 30, "A-B/C+D_" * 3]
+    return [(i, f"pre {t} é post", t) for i, t in enumerate(tokens)]
+
+
+def test_battery_against_python(spark):
+    """p-values, the false-discovery cut and the spans equal a plain version's."""
+    rows, params = mixed_rows(), sc.Params()
+    df = spark.createDataFrame(rows, "doc_id long, text string, token string")
+    got = {r.token: r for r in sc.tested_runs(df, params).collect()}
+    assert set(got) == {t for _, _, t in rows if battery(t)} and "A-B/C+D_" * 3 not in got
+    classes = defaultdict(list)
+    for token, r in got.items():
+        encoding, n, p = battery(token)
+        assert (r.encoding, r.n) == (encoding, n)
+        assert math.isclose(r.p, p, rel_tol=2e-3, abs_tol=1e-6), token
+        classes[encoding, math.floor(math.log2(n) * 8)].append((min(sc.P_CLASSES, math.floor(-10 * math.log10(max(r.p, 1e-20)))), token))
+    wanted = set()
+    for (encoding, _), runs in classes.items():
+        cuts = [b for b, _ in runs if 10 ** (-b / 10) * len(runs) <= params.rate * sum(x >= b for x, _ in runs)]
+        cut = min(cuts, default=None)
+        even = (sum(b < 4 for b, _ in runs) + 1) / (1 - 10**-0.4)
+        below = [sum(x < b for x, _ in runs) for b in range(sc.P_CLASSES + 2)]
+        bound = max(b for b in range(sc.P_CLASSES + 2 if cut is None else cut + 1) if below[b] - even * (1 - 10 ** (-b / 10)) <= params.rate * below[b])
+        k = len(dict(sc.ENCODINGS)[encoding])
+        for b, token in runs:
+            assert got[token].rejected == (cut is not None and b >= cut), token
+            if b < bound and got[token].n >= sc.least_length(k, params):
+                wanted.add(token)
+    found = {r.doc_id: r.spans for r in sc.scan(df, params).collect()}
+    for i, text, token in rows:
+        assert found[i] == (f"random:4:{4 + len(token)}" if token in wanted and not base(text) else shown(base(text)))
+    false = [(t, got[t].p, got[t].encoding) for _, _, t in rows[130:370] if t in wanted]
+    assert len(false) < 12, false
+    assert sum(t in wanted for _, _, t in rows[:90]) > 75 and sum(t in wanted for _, _, t in rows[130:370]) < 12
+    assert {sc.least_length(k, params) for k in (62, 64)} == {sc.least_length(64, params)} and sc.least_length(16, params) == 31
+
+
+def test_long_runs_and_many_matches(spark):
+    """A run of a million characters and texts of thousands of matches take seconds, and their offsets are right."""
+    rng = random.Random(4)
+    run = base64.b64encode(rng.randbytes(750_000)).decode()
+    many = " ".join(f"é token=abcdefgh{i}" for i in range(6000))
+    rows = [(1, f"data:{run} end"), (2, many), (3, " ".join(base64.b64encode(rng.randbytes(18)).decode() for _ in range(3000)))]
+    began = time.perf_counter()
+    got = {r.doc_id: r for r in sc.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.perf_counter() - began < 90
+    assert got[1].spans == f"random:5:{5 + len(run)}"
+    assert got[2].base_sha256 == hashlib.sha256(shown(base(many)).encode()).hexdigest() and got[2].n_assign == 6000
+    assert got[3].n_random > 2700
