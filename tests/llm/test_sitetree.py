@@ -59,3 +59,70 @@ def test_repeated_parts_of_articles_stay(spark):
     assert all(got[i] == ("Once One text first second" if i < 12 else f"Other text {i}") for i in range(40))
     assert all(got[100 + i] == f"What you need Recipe {i}" for i in range(20))
     assert all(got[200 + i] == ("Once One text first" if i < 12 else f"Story {i}") for i in range(40))
+
+
+def story(i, n=4):
+    return "".join(f"<p>Story {i} line {k} of {i * 7 + k} words</p>" for k in range(n + i % 3))
+
+
+def neutral(i):
+    """A page without any tag or name that tells its parts."""
+    menu = "<div class='k1'><div class='k2'>" + "".join(f"<div class='k3'><span>Entry {k}</span></div>" for k in range(5)) + "</div></div>"
+    notice = "<div class='k4'><p>This site keeps small files.</p><p>Read more</p></div>" if i % 2 else ""
+    foot = f"<div class='k5'><p>Written by the same hands</p><p>{'All rights' if i % 3 else 'No rights'}</p></div>"
+    return f"<body>{menu}{notice}<div class='k6'><div class='k7'>{story(i)}</div></div>{foot}</body>"
+
+
+def test_the_tree_decides_without_names(spark):
+    """Menus, notices and footers in neutral tags go by the tree alone; without it they stay."""
+    rows = [(i, f"http://n.example/{i}", neutral(i)) for i in range(40)] + [(100 + i, f"http://few.example/{i}", neutral(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    wanted = {i: " ".join(t for _, t in st.page_of(story(i)).text_blocks()) for i in range(40)}
+    got = {r.page_id: r.text for r in st.extracted(df).collect()}
+    assert all(got[i] == wanted[i] for i in range(40))
+    off = {r.page_id: r.text for r in st.extracted(df, st.Params(low=0.0)).collect()}
+    assert all(off[i] != wanted[i] and "Entry 3" in off[i] and wanted[i] in off[i] for i in range(40))
+    assert all(got[100 + i] == off[100 + i] for i in range(3))  # three pages prove nothing yet
+
+
+def test_importance_against_plain_entropy(spark):
+    """Content and presentation of each node equal entropies that are taken page by page."""
+    from collections import Counter, defaultdict
+    from math import log
+
+    pages = [neutral(i) for i in range(12)]
+    df = spark.createDataFrame([(i, "http://n.example/", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.node: r for r in st.style_tree(st.pages_of(df)).collect()}
+    nodes, blocks, layouts = Counter(), defaultdict(lambda: defaultdict(Counter)), defaultdict(Counter)
+    for i, h in enumerate(pages):
+        page = st.page_of(h)
+        for path, children in page.layout.items():
+            nodes[path] += 1
+            layouts[path][tuple(children)] += 1
+        for path, text, _, _ in page.blocks:
+            blocks[path][text][i] += 1
+    entropy = lambda c: -sum(n / sum(c.values()) * log(n / sum(c.values())) for n in c.values())
+    for path, m in nodes.items():
+        r = got[st.node_key(path)]
+        assert r.m == m and abs(r.presentation - entropy(layouts[path]) / log(m)) < 1e-9
+        if blocks[path]:
+            assert abs(r.content - (1 - sum(map(entropy, blocks[path].values())) / len(blocks[path]) / log(m))) < 1e-9
+    assert len(got) == len(nodes)
+
+
+def test_wrappers_keep_their_articles():
+    for html, want in (
+        ("<div class='layout has-sidebar'><article><p>a</p></article></div>", "a"), ("<div id='page' class='no-header'><p>a</p></div>", "a"), ("<div class='sidebar'><article><p>a</p></article>b</div>", "a"),
+        ("<main><div class='tags-and-text'><p>a</p></div></main>", "a"), ("<article><p class='alert'>a</p><div class='social'>b</div></article>", "a b"), ("<article><p>a <math><mi>x</mi></math> b</p></article>", "a x b"),
+        ("<header>Site</header><article><header><h1>Head</h1></header><p>a</p><footer>by me</footer></article>", "Head a"), ("<article><p>a long text of the page</p><div class='comments'><p>no</p></div></article>", "a long text of the page"),
+        ("<div class='ad'>Buy</div><p>a text that is longer</p>", "a text that is longer"), ("<div class='menu'><p>all there is</p></div>", "all there is"),
+    ):
+        assert st.main_text(html, set()) == want, html
+
+
+def test_very_long_page_and_hot_host(spark, monkeypatch):
+    long = "<body><div class='k1'>Same</div>" + "".join(f"<p>line {i}</p>" for i in range(60_000)) + "</body>"
+    rows = [(0, "http://hot.example/", long)] + [(i, "http://hot.example/", f"<body><div class='k1'>Same</div><p>line {i}</p></body>") for i in range(1, 400)]
+    monkeypatch.setattr(st, "BROADCAST_ROWS", 0)
+    got = {r.page_id: r.text for r in st.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == " ".join(f"line {i}" for i in range(60_000)) and all(got[i] == f"line {i}" for i in range(1, 400))
