@@ -151,15 +151,19 @@ def grow(x: np.ndarray, y: np.ndarray, params: Params) -> Trees:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, max_rows: int) -> DataFrame:
-    """``doc_id``, ``text`` and ``label`` of at most ``max_rows`` labelled rows, those with the smallest hash of doc_id."""
+    """``doc_id``, ``text`` and ``label`` of at most ``max_rows`` labelled documents, those with the smallest hash of doc_id.
+
+    One row for each doc_id: its largest label, and where several documents share it, the first of their texts in order.
+    """
     own = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max(label).alias("label"))
+    own = own.join(docs.select("doc_id"), "doc_id", "left_semi")
     n, space = own.count(), 1 << 40
     place = F.pmod(F.xxhash64("doc_id"), F.lit(space))
     # a little more than enough by the hash alone, so that few rows are left to sort, whatever the number of partitions
     enough = (max_rows + 6 * max_rows**0.5 + 50) / max(n, 1)
     if enough < 1:
         own = own.where(place < int(enough * space))
-    return texts(docs).join(F.broadcast(own.orderBy(place, "doc_id").limit(max_rows)), "doc_id")
+    return texts(docs).join(F.broadcast(own.orderBy(place, "doc_id").limit(max_rows)), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Trees:
@@ -169,9 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Trees:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"].astype(float), "x": list(statistics(b["text"].tolist()))})
 
-    # a doc_id that occurs several times in docs must not push the sample over its bound
-    rows = sample.mapInPandas(measure, "doc_id long, label double, x array<double>").limit(2 * params.max_rows).toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
+    rows = sample.mapInPandas(measure, "doc_id long, label double, x array<double>").toPandas().sort_values("doc_id")
     return grow(np.array(rows["x"].tolist()).reshape(-1, N_FEATURES), rows["label"].to_numpy(float), params)
 
 

@@ -1,28 +1,30 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and word beginnings whose share among the toxic rows of a bounded
-sample of labelled rows (``Params.max_rows``) is significantly larger; one more
-dimension holds all other words. Inverse document frequencies are counted over
-all documents. Examples with equal vectors become one, with its number of labels.
-The index keeps for each term a posting list over blocks of examples, with the
-block's largest weight; a query's blocks are visited by falling upper bound until
-no other can reach the k-th best cosine, so the neighbours are exact. They vote
-with weights that fall with their distance, and a logistic curve fitted to the
-leave-one-out votes of the examples makes the votes probabilities. The neighbours
-are the evidence.
-
-Defined results: null and empty texts have no words; they are scored as texts
-without toxic terms are, from the examples without any. Without labels of both
-classes the score is the share of label 1, or 0 without any label, and there is
-no evidence. A ``doc_id`` with several label rows counts once, with its largest
-label. Ties between neighbours go to the smaller example. Rows repeat as often as
-they come in; a null ``doc_id`` is scored and not held out; extra columns are
-neither read nor returned.
+Examples are a bounded sample of labelled rows (``Params.examples``). Terms are all
+their words, and beginnings of words that lean to toxic rows. A term's weight in a
+text is log(1 + occurrences) x inverse document frequency (counted over all documents)
+x a relevance factor, from ``Params.background`` for ordinary terms to 1 for those
+whose share among the toxic rows of a larger sample (``Params.max_rows``) is
+significantly larger. No term is left out; words that no example has are orthogonal
+to all of them, and cosines are taken in the space of the examples' terms.
+Examples with equal vectors become one, with its number of labels.
+
+The index keeps for each block of examples the postings of its terms and each term's
+largest weight; a query's blocks are visited by falling upper bound until no other
+can reach the k-th best cosine, so the neighbours are exact. They vote with weights
+that fall with their distance, and a logistic curve fitted to the leave-one-out votes
+of the examples makes the votes probabilities. The neighbours are the evidence.
+
+Defined results: null and empty texts, and texts without a known term, get the score
+of a vote at the share of label 1, and no evidence. Without labels of both classes
+the score is that share, or 0 without any label. A ``doc_id`` with several label rows
+counts once, with its largest label and the first of its texts. Ties between
+neighbours go to the smaller example. Rows repeat as often as they come in; a null
+``doc_id`` is scored and not held out; extra columns are neither read nor returned.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -43,13 +45,13 @@ BEGINNINGS = (5, 7)
 
 @dataclass(frozen=True)
 class Params:
-    max_rows: int = 20_000  # labelled rows to learn from, those with the smallest hash of doc_id
-    max_terms: int = 1024
-    least_rows: int = 5  # toxic rows that a term occurs in
-    significance: float = 4.0  # root of the likelihood ratio of a term's share of toxic rows
+    max_rows: int = 20_000  # labelled rows that terms are rated by, those with the smallest hash of doc_id
+    examples: int = 4_000  # of them, rows that are indexed as neighbours
+    least_rows: int = 5  # toxic rows that a relevant term occurs in
+    significance: tuple[float, float] = (2.0, 6.0)  # roots of the likelihood ratio between which the relevance rises
+    background: float = 0.1  # relevance of all other terms
     k: int = 15
-    block: int = 64
-    calibration: int = 3000  # examples whose votes fit the curve
+    block: int = 256
 
 
 def terms_of(text: str) -> Counter:
@@ -71,25 +73,22 @@ class Finder:
         tables = [(k, {t[1:]: i for t, i in place.items() if t[0] == "^" and len(t) == k + 1}) for k in BEGINNINGS]
         self.beginnings = [(k, t) for k, t in tables if t]
 
-    def __call__(self, text: str) -> tuple[dict[int, int], int]:
-        """How often each term occurs, by its place, and the number of words that are no term."""
+    def __call__(self, text: str) -> dict[int, int]:
+        """How often each term occurs, by its place."""
         found: dict[int, int] = {}
-        other = 0
         get, beginnings = self.place.get, self.beginnings
         for w, n in Counter(WORD.findall(text.lower())).items():
             d = get(w)
-            if d is None:
-                other += n
-            else:
+            if d is not None:
                 found[d] = found.get(d, 0) + n
             for k, table in beginnings:
                 if len(w) > k and (d := table.get(w[:k])) is not None:
                     found[d] = found.get(d, 0) + n
-        return found, other
+        return found
 
 
-def chosen_terms(sample: DataFrame, params: Params) -> list[str]:
-    """The terms that are significantly more frequent in toxic rows."""
+def relevance(sample: DataFrame, params: Params) -> dict[str, float]:
+    """The terms whose relevance is above the background, as they occur significantly more in toxic rows."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = (Counter(), Counter())
@@ -104,91 +103,111 @@ def chosen_terms(sample: DataFrame, params: Params) -> list[str]:
     counts = saved(sample.mapInPandas(count, "term string, neg long, pos long").groupBy("term").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
     total = counts.where("term is null").select("neg", "pos").head()
     if total is None or not total["neg"] or not total["pos"]:
-        return []
+        return {}
     odds = F.log((F.col("pos") + 0.5) / total["pos"]) - F.log((F.col("neg") + 0.5) / total["neg"])
     share = total["pos"] / (total["pos"] + total["neg"])
     part = lambda k, p: F.when(k > 0, k * F.log(k / ((F.col("pos") + F.col("neg")) * p))).otherwise(F.lit(0.0))
     z = F.sqrt(F.greatest(F.lit(0.0), 2 * (part(F.col("pos"), share) + part(F.col("neg"), 1 - share))))  # root of the likelihood ratio
-    best = counts.where(F.col("term").isNotNull() & (F.col("pos") >= params.least_rows) & (z >= params.significance) & (odds >= 0.7))
-    return [r.term for r in best.orderBy(F.desc(z), "term").limit(params.max_terms).select("term").collect()]
+    low, high = params.significance
+    leaning = counts.where(F.col("term").isNotNull() & (F.col("pos") >= params.least_rows) & (z > low) & (odds >= 0.7))
+    rise = F.least(F.lit(1.0), (z - low) / (high - low))
+    return {r.term: r.f for r in leaning.select("term", (params.background + (1 - params.background) * rise).alias("f")).collect()}
 
 
-def document_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
+def document_frequencies(docs: DataFrame, place: dict[str, int]) -> np.ndarray:
     """In how many documents each term occurs, and the number of documents last."""
-    find = Finder({t: i for i, t in enumerate(terms)})
+    shared = docs.sparkSession.sparkContext.broadcast(place)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(len(terms) + 1, np.int64)
+        find = Finder(shared.value)
+        n = np.zeros(len(find.place) + 1, np.int64)
         for b in batches:
             for text in b["text"]:
                 n[-1] += 1
-                for d in find(text)[0]:
+                for d in find(text):
                     n[d] += 1
-        yield pd.DataFrame({"i": np.arange(len(n)), "n": n})
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"i": at, "n": n[at]})
 
-    rows = texts(docs).select("text").mapInPandas(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(terms) + 1)
-    for r in rows:
-        out[r.i] = r.n
+    rows = texts(docs).select("text").mapInPandas(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(len(place) + 1)
+    out[rows["i"]] = rows["n"]
     return out
 
 
+def joined_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All integers of the ranges, one range after another."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
+@dataclass
+class Block:
+    """Postings of a block of examples: its terms, where each one's postings begin, examples and weights, and largest weights."""
+
+    first: int
+    size: int
+    terms: np.ndarray
+    starts: np.ndarray
+    members: np.ndarray
+    weights: np.ndarray
+    tops: np.ndarray
+
+
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors. The last dimension is that of all other words."""
+    """Block-max inverted index of unit vectors."""
 
     place: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    scale: np.ndarray = field(default_factory=lambda: np.zeros(0))  # idf x relevance of each term
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # an example's smallest doc_id
     n: np.ndarray = field(default_factory=lambda: np.zeros(0))
     pos: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    block: int = 64
+    block: int = 256
     k: int = 15
     prior: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
-    postings: list = field(default_factory=list)  # of each term: places in it where blocks begin, examples, weights
-    tops: np.ndarray = field(default_factory=lambda: np.zeros((1, 0)))  # term x block
-    seen: dict = field(default_factory=dict)
+    blocks: list[Block] = field(default_factory=list)
     find: Finder | None = None
 
-    def vector(self, text: str) -> tuple[tuple[int, ...], tuple[float, ...]]:
-        """Dimensions and weights of the unit vector of a text."""
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Dimensions (rising) and weights of the unit vector of a text."""
         if self.find is None:
             self.find = Finder(self.place)
-        found, other = self.find(text)
-        dims = [*sorted(found), len(self.place)]
-        w = np.array([math.log1p(found[d]) * self.idf[d] for d in dims[:-1]] + [math.log1p(other) + 1e-3])
-        return tuple(dims), tuple((w / np.sqrt(w @ w)).round(6).tolist())
-
-    def build(self, vectors: list[tuple]) -> None:
-        lists: list[list] = [[] for _ in range(len(self.place) + 1)]
-        for e, (dims, weights) in enumerate(vectors):
-            for d, w in zip(dims, weights, strict=True):
-                lists[d].append((e, w))
-        blocks = max(1, -(-len(vectors) // self.block))
-        self.tops = np.zeros((len(lists), blocks))
-        for d, entries in enumerate(lists):
-            e = np.array([x for x, _ in entries], np.int64)
-            w = np.array([x for _, x in entries])
-            np.maximum.at(self.tops[d], e // self.block, w)
-            self.postings.append((np.searchsorted(e, np.arange(blocks + 1) * self.block), e, w))
-
-    def nearest(self, dims: tuple, weights: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine, exactly, and their cosines."""
-        q = np.array(weights)
-        bounds = q @ self.tops[list(dims)]
+        found = self.find(text)
+        dims = np.fromiter(found.keys(), np.int32, len(found))
+        w = np.log1p(np.fromiter(found.values(), float, len(found))) * self.scale[dims]
+        order = np.argsort(dims)
+        return dims[order], (w / np.sqrt(w @ w) if len(w) else w)[order].round(6)
+
+    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.blocks = []
+        for first in range(0, len(vectors), self.block):
+            own = vectors[first : first + self.block]
+            dims = np.concatenate([d for d, _ in own])
+            weights = np.concatenate([w for _, w in own])
+            members = np.repeat(np.arange(len(own)), [len(d) for d, _ in own])
+            order = np.argsort(dims, kind="stable")
+            dims, weights, members = dims[order], weights[order], members[order]
+            terms, starts = np.unique(dims, return_index=True)
+            tops = np.maximum.reduceat(weights, starts) if len(terms) else np.zeros(0)
+            self.blocks.append(Block(first, len(own), terms, np.append(starts, len(dims)), members, weights, tops))
+
+    def nearest(self, dims: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of the largest cosine, exactly, and their cosines; examples without a common term are none."""
+        met = []
+        for b in self.blocks:
+            at = np.minimum(np.searchsorted(b.terms, dims), len(b.terms) - 1)
+            shared = np.flatnonzero(b.terms[at] == dims) if len(b.terms) else at[:0]
+            met.append((float(weights[shared] @ b.tops[at[shared]]), b, at[shared], weights[shared]))
         cos, who = np.zeros(0), np.zeros(0, np.int64)
-        for b in np.argsort(-bounds, kind="stable"):
-            if len(cos) >= k and bounds[b] < cos[-1] - 1e-9:
+        for bound, b, at, w in sorted(met, key=lambda x: -x[0]):
+            if bound <= 0 or (len(cos) >= k and bound < cos[-1] - 1e-9):
                 break
-            first = b * self.block
-            own = np.zeros(min(self.block, len(self.ids) - first))
-            for d, w in zip(dims, weights, strict=True):
-                starts, e, x = self.postings[d]
-                i, j = starts[b], starts[b + 1]
-                if i < j:
-                    own[e[i:j] - first] += w * x[i:j]
-            cos, who = np.concatenate([cos, own.round(9)]), np.concatenate([who, np.arange(first, first + len(own))])
+            lengths = b.starts[at + 1] - b.starts[at]
+            where = joined_ranges(b.starts[at], lengths)
+            own = np.bincount(b.members[where], b.weights[where] * np.repeat(w, lengths), b.size).round(9)
+            found = np.flatnonzero(own > 0)
+            cos, who = np.concatenate([cos, own[found]]), np.concatenate([who, found + b.first])
             best = np.lexsort((who, -cos))[:k]
             cos, who = cos[best], who[best]
         return who, cos
@@ -209,13 +228,8 @@ class Index:
     def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(self.ids):
             return self.prior, np.zeros(0, np.int64), np.zeros(0)
-        key = self.vector(text)
-        if key not in self.seen:
-            if len(self.seen) > 20_000:
-                self.seen.clear()
-            who, cos = self.nearest(*key, self.k)
-            self.seen[key] = self.probability(self.vote(who, cos)), self.ids[who], cos
-        return self.seen[key]
+        who, cos = self.nearest(*self.vector(text), self.k)
+        return self.probability(self.vote(who, cos)), self.ids[who], cos
 
 
 def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -232,34 +246,42 @@ def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tup
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
-    sample = labelled_sample(docs, labels, "toxic", crc_mod("doc_id", FOLDS) != HELD_OUT, params.max_rows)
-    terms = chosen_terms(sample, params)
-    df = document_frequencies(docs, terms) if terms else np.zeros(1)
-    index = Index({t: i for i, t in enumerate(terms)}, np.log((df[-1] + 1) / (df[:-1] + 1)) + 1, block=params.block, k=params.k)
-
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            v = [index.vector(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"].astype(float), "dims": [list(x) for x, _ in v], "weights": [list(x) for _, x in v]})
-
-    rows = sample.mapInPandas(vectors, "doc_id long, label double, dims array<int>, weights array<double>").limit(2 * params.max_rows).toPandas()
-    rows["label"] = rows["label"].clip(0, 1)
-    index.prior = float(rows["label"].mean()) if len(rows) else 0.0
+    usable = crc_mod("doc_id", FOLDS) != HELD_OUT
+    leaning = relevance(labelled_sample(docs, labels, "toxic", usable, params.max_rows), params)
+    rows = labelled_sample(docs, labels, "toxic", usable, params.examples).toPandas().sort_values("doc_id")
+    rows["label"] = rows["label"].astype(float).clip(0, 1)
+    index = Index(block=params.block, k=params.k, prior=float(rows["label"].mean()) if len(rows) else 0.0)
     if not len(rows) or index.prior in (0.0, 1.0):
         return index
-    rows["key"] = [(tuple(map(int, d)), tuple(map(float, w))) for d, w in zip(rows["dims"], rows["weights"], strict=True)]
-    merged = rows.groupby("key", sort=True).agg(id=("doc_id", "min"), n=("label", "size"), pos=("label", "sum")).reset_index()
-    index.ids, index.n, index.pos = merged["id"].to_numpy(np.int64), merged["n"].to_numpy(float), merged["pos"].to_numpy(float)
-    index.build(merged["key"].tolist())
+    words: Counter = Counter()
+    for text in rows["text"]:
+        words.update(set(WORD.findall(text.lower())))
+    # frequent terms come first, so that examples in the order of their dimensions lie beside others of their kind
+    terms = sorted(words, key=lambda w: (-words[w], w)) + sorted(t for t in leaning if t[0] == "^")
+    index.place = {t: i for i, t in enumerate(terms)}
+    df = document_frequencies(docs, index.place)
+    factor = np.array([leaning.get(t, params.background) for t in terms])
+    index.scale = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1) * factor
+    merged: dict[tuple, list] = {}
+    for doc_id, text, label in zip(rows["doc_id"], rows["text"], rows["label"], strict=True):
+        dims, weights = index.vector(text)
+        own = merged.setdefault((tuple(dims.tolist()), tuple(weights.tolist())), [doc_id, 0.0, 0.0])
+        own[1] += 1
+        own[2] += label
+    keys = sorted(merged)
+    index.ids, index.n, index.pos = (np.array([merged[k][i] for k in keys]) for i in range(3))
+    vectors = [(np.array(d, np.int32), np.array(w)) for d, w in keys]
+    index.build(vectors)
     votes, ys, ws = [], [], []
-    for e in np.linspace(0, len(merged) - 1, min(len(merged), params.calibration)).astype(int):
-        who, cos = index.nearest(*merged["key"][e], params.k)
+    for e, (dims, weights) in enumerate(vectors):
+        who, cos = index.nearest(dims, weights, params.k)
         for label, count in ((1.0, index.pos[e]), (0.0, index.n[e] - index.pos[e])):
             if count:
                 votes.append(index.vote(who, cos, e, label))
                 ys.append(label)
                 ws.append(count)
     index.curve = fit_curve(np.array(votes), np.array(ys), np.array(ws))
+    index.find = None
     return index
 
 

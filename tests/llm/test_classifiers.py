@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from loomstream.llm import quality, toxicity
 from loomstream.llm.queries import op6_toxicity, op7_quality
@@ -35,23 +38,66 @@ def test_held_out_accuracy(spark):
     assert accuracy(spark, op6_toxicity(spark, d).toPandas(), "toxic") > 0.93
 
 
-def test_neighbours_against_brute_force():
-    rng = np.random.default_rng(1)
-    words = [f"t{i}" for i in range(12)]
-    index = toxicity.Index({w: i for i, w in enumerate(words)}, rng.uniform(1, 3, 12), block=8)
-    vectors = sorted({index.vector(" ".join(rng.choice(words, rng.integers(0, 6))) + " other" * rng.integers(0, 9)) for _ in range(300)})
-    index.ids = np.arange(len(vectors))
-    index.build(vectors)
-    dense = np.zeros((len(vectors), 13))
-    for e, (dims, w) in enumerate(vectors):
-        dense[e, list(dims)] = w
-    for q in vectors[::7]:
-        full = np.zeros(13)
-        full[list(q[0])] = q[1]
-        cos = (dense @ full).round(9)
-        want = np.lexsort((np.arange(len(cos)), -cos))[:10]
-        who, got = index.nearest(*q, 10)
-        assert np.allclose(np.sort(got), np.sort(cos[want]), atol=2e-9)
+def test_neighbours_and_scores_against_brute_force(spark):
+    """On the whole small table: all terms of all examples, cosines against every example, votes and curve."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    index = toxicity.fit(docs, labels, toxicity.Params(block=8))
+    rows = docs.select("doc_id", "text").toPandas()
+    known = labels.where("toxic is not null and doc_id is not null").toPandas().groupby("doc_id")["toxic"].max()
+    learnt = [(i, t or "", known[i]) for i, t in zip(rows["doc_id"], rows["text"], strict=True) if i in known.index and zlib.crc32(str(i).encode()) % 3 != 1]
+    assert index.n.sum() == len(learnt) and index.pos.sum() == sum(x for _, _, x in learnt)
+    words = {w for _, t, _ in learnt for w in toxicity.WORD.findall(t.lower())}
+    assert {t for t in index.place if t[0] != "^"} == words
+    df = {w: 0 for w in index.place}
+    for t in rows["text"]:
+        for w in toxicity.terms_of(t or "").keys() & df.keys():
+            df[w] += 1
+    idf = np.array([np.log((len(rows) + 1) / (df[t] + 1)) + 1 for t in index.place])
+    ratio = index.scale / idf
+    assert ratio.min() > 0.1 - 1e-9 and ratio.max() < 1 + 1e-9
+
+    def dense(text):
+        v = np.zeros(len(index.place))
+        for t, n in toxicity.terms_of(text).items():
+            if t in index.place:
+                v[index.place[t]] = np.log1p(n) * index.scale[index.place[t]]
+        return v / (np.sqrt(v @ v) or 1)
+
+    first = {}
+    for i, t, _ in sorted(learnt):
+        first.setdefault(dense(t).round(6).tobytes(), i)
+    matrix = {i: dense(t) for i, t, _ in learnt}
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels, toxicity.Params(block=8)).collect()}
+    for i, text in zip(rows["doc_id"], rows["text"], strict=True):
+        q = dense(text or "")
+        want = sorted((round(float(q @ matrix[e]), 5) for e in set(first.values())), reverse=True)[:15]
+        want = [c for c in want if c > 0]
+        assert np.allclose(sorted(got[i].cosines, reverse=True)[: len(want)], want, atol=2e-5), i
+        who = np.array([int(np.flatnonzero(index.ids == e)[0]) for e in got[i].evidence], np.int64)
+        weights = np.minimum(index.n[who], 15) / (1.02 - np.array(got[i].cosines))
+        vote = (weights @ (index.pos[who] / index.n[who]) + 0.5 * index.prior) / (weights.sum() + 0.5)
+        a, b = index.curve
+        assert abs(got[i].score - 1 / (1 + np.exp(-(a + b * np.log(vote / (1 - vote)))))) < 1e-6
+
+
+def test_copy_of_an_example_finds_it(spark):
+    """A copy of a labelled row of rare words only has that row as its nearest, at cosine 1."""
+    rows = [(i, " ".join(f"w{i}.{k}x{(i * 7 + k) % 50}" for k in range(12))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (1000, rows[7][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i in (5, 7, 11))) for i in range(60)], "doc_id long, quality int, toxic int")
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 7 in learnt
+    r = toxicity.toxicity_scores(docs, labels).where("doc_id = 1000").head()
+    assert r.evidence[0] == 7 and r.cosines[0] > 1 - 1e-5
+
+
+def test_sample_is_bounded_and_ordered(spark):
+    """More labelled rows than the sample holds, ids that several documents share, and labels without a document."""
+    docs = spark.createDataFrame([(i % 500, f"text {i}") for i in range(1500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(2000)], "doc_id long, quality int, toxic int")
+    runs = [sorted(map(tuple, quality.labelled_sample(docs.repartition(n), labels, "toxic", F.lit(True), 100).collect())) for n in (1, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) == 100 and all(i < 500 and t == min(f"text {i + 500 * k}" for k in range(3)) for i, t, _ in runs[0])
 
 
 def test_edges(spark):
@@ -61,5 +107,5 @@ def test_edges(spark):
         got = run(docs, labels).collect()
         assert len(got) == 45 and all(0 <= r.score <= 1 for r in got)
         assert len(run(docs, labels.limit(0)).collect()) == 45 and run(docs.limit(0), labels).count() == 0
-    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, labels, toxicity.Params(significance=2.0)).collect()}
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, labels, toxicity.Params(significance=(0.0, 2.0))).collect()}
     assert got[2] == 1 and got[3] == 0 and got[91] == 0
