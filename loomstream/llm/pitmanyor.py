@@ -241,6 +241,7 @@ def seated(rows: pd.DataFrame, shards: int, hot: np.ndarray, params: Params):
 
 
 QUARTERS = 16  # tables are sent in sixteenths
+COUNT_BYTES = 6  # of a word's count in all training documents; its high planes are zeros, which shuffles compress away
 
 
 def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> DataFrame:
@@ -252,6 +253,8 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         out = []
         for s in range(shards):
             at, wat = g.cell_order[s], g.word_order[s]
+            if not len(at) and not len(wat):
+                continue  # so a group sends no more requests than it has words and contexts
             u, starts = (np.zeros(0, np.uint64), np.zeros(0, np.int64)) if not len(at) else _runs(g.context[at])
             out.append((s, key[0], pack(u, 5), pack(np.diff(np.append(starts, len(at))), 4), pack(g.dish[at], 5), pack(g.cell_count[at], 4), pack(g.words[wat], 7), pack(g.word_count[wat], 4)))
         return pd.DataFrame(out, columns=[c.split()[0] for c in REQUEST.split(", ")])
@@ -280,7 +283,8 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         words = [unpack(x, 7) for x in asked["words"]]
         flat = np.concatenate(words)
         names, place = np.unique(flat, return_inverse=True)
-        count = np.bincount(place, np.concatenate([unpack(x, 4) for x in asked["wc"]]).astype(float), len(names))
+        count = np.zeros(len(names), np.int64)
+        np.add.at(count, place, np.concatenate([unpack(x, 4) for x in asked["wc"]]).astype(np.int64))
         short = names & MASK40
         order = np.argsort(short, kind="stable")
 
@@ -312,7 +316,7 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         for gid, own in zip(asked["gid"], words, strict=True):
             k = place[at : at + len(own)]
             at += len(own)
-            out.append((gid, key[0], 1, float_planes(count[k]), float_planes(customers[k] - mean[k]), float_planes(ctables[k]), *totals))
+            out.append((gid, key[0], 1, pack(count[k], COUNT_BYTES), float_planes(customers[k] - mean[k]), float_planes(ctables[k]), *totals))
         return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
 
     def finish(key: tuple, docs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
@@ -328,7 +332,7 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
                 weight[g.cell_order[r.shard]] = from_float_planes(r.a)
             else:
                 at = g.word_order[r.shard]
-                count[at], number[at], ctables[at] = map(from_float_planes, (r.a, r.b, r.c))
+                count[at], number[at], ctables[at] = unpack(r.a, COUNT_BYTES), from_float_planes(r.b), from_float_planes(r.c)
                 n, v, customers, spare = n + r.s1, v + r.s2, customers + r.s3, spare + r.s4
         p0 = (number + (params.strength + spare) / (v + 1)) / (params.strength + customers)
         at = g.context_place
@@ -393,7 +397,9 @@ def language_model_scores(docs: DataFrame, params: Params = Params()) -> DataFra
     spark = prepare(docs.sparkSession)
     own = texts(docs, F.coalesce(crc_mod("doc_id", FOLDS) == 0, F.lit(False)).alias("held_out"))
     size = own.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    shards = max(1, -(-int(size) // params.group_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(1, -(-int(size) // params.group_bytes))
     hot = frequent_contexts(own, shards)
-    rows = own.select(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(shards)).cast("int").alias("gid"), "doc_id", "held_out", "text")
+    # dealt by the row's place too, so that rows without an id or with the same one are spread
+    gid = F.pmod(F.xxhash64("doc_id", F.length("text"), F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    rows = own.select(gid.alias("gid"), "doc_id", "held_out", "text")
     return scored(rows, shards, hot, params)

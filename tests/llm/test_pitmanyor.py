@@ -80,3 +80,25 @@ def test_planes():
     assert (py.unpack(py.pack(x, 5), 5) == x).all() and len(py.unpack(b"", 5)) == 0
     f = np.array([0.5, -1.25, 3e7])
     assert (py.from_float_planes(py.float_planes(f)) == f).all()
+
+
+def test_counts_beyond_float_precision():
+    """A word's count travels as an integer, also above 2**24."""
+    n = np.array([0, 1, (1 << 24) + 1, (1 << 40) + 3])
+    assert (py.unpack(py.pack(n, py.COUNT_BYTES), py.COUNT_BYTES).astype(np.int64) == n).all()
+
+
+def test_rows_of_one_id_are_spread_and_settings_do_not_matter(spark):
+    """Rows without an id are dealt like others; the number of shuffle partitions changes no score."""
+    df = spark.createDataFrame([(None, "the same words here")] * 300 + [(i, f"other words {i % 7}") for i in range(50)], "doc_id long, text string").repartition(4)
+    params = py.Params(group_bytes=1500)
+    base = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        runs = []
+        for n in (3, 11):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            runs.append(sorted(((r.doc_id, r.n_tokens, round(r.score, 9), round(r.base_score, 9)) for r in py.language_model_scores(df, params).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", base)
+    assert len(runs[0]) == 350 and [r[:2] for r in runs[0]] == [r[:2] for r in runs[1]] and np.allclose([r[3] for r in runs[0]], [r[3] for r in runs[1]])
+    assert np.allclose([r[2] for r in runs[0]], [r[2] for r in runs[1]])
