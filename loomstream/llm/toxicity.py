@@ -9,8 +9,8 @@ significantly larger. No term is left out; words that no example has are orthogo
 to all of them, and cosines are taken in the space of the examples' terms.
 Examples with equal vectors become one, with its number of labels.
 
-The index keeps for each block of examples the postings of its terms and each term's
-largest weight; a query's blocks are visited by falling upper bound until no other
+The index keeps for each block of examples the weights of the most frequent terms as
+a table, the postings of all others, and each term's largest weight; a query's blocks are visited by falling upper bound until no other
 can reach the k-th best cosine, so the neighbours are exact. They vote with weights
 that fall with their distance, and a logistic curve fitted to the leave-one-out votes
 of the examples makes the votes probabilities. The neighbours are the evidence.
@@ -46,7 +46,7 @@ BEGINNINGS = (5, 7)
 @dataclass(frozen=True)
 class Params:
     max_rows: int = 20_000  # labelled rows that terms are rated by, those with the smallest hash of doc_id
-    examples: int = 4_000  # of them, rows that are indexed as neighbours
+    examples: int = 2_000  # of them, rows that are indexed as neighbours
     least_rows: int = 5  # toxic rows that a relevant term occurs in
     significance: tuple[float, float] = (2.0, 6.0)  # roots of the likelihood ratio between which the relevance rises
     background: float = 0.1  # relevance of all other terms
@@ -72,18 +72,24 @@ class Finder:
         self.place = place
         tables = [(k, {t[1:]: i for t, i in place.items() if t[0] == "^" and len(t) == k + 1}) for k in BEGINNINGS]
         self.beginnings = [(k, t) for k, t in tables if t]
+        self.known: dict[str, tuple[int, ...]] = {}  # places of words met before
+
+    def places(self, w: str) -> tuple[int, ...]:
+        own = [self.place[w]] if w in self.place else []
+        return (*own, *[t[w[:k]] for k, t in self.beginnings if len(w) > k and w[:k] in t])
 
     def __call__(self, text: str) -> dict[int, int]:
         """How often each term occurs, by its place."""
         found: dict[int, int] = {}
-        get, beginnings = self.place.get, self.beginnings
+        known = self.known
+        if len(known) > 300_000:
+            known.clear()
         for w, n in Counter(WORD.findall(text.lower())).items():
-            d = get(w)
-            if d is not None:
+            at = known.get(w)
+            if at is None:
+                at = known[w] = self.places(w)
+            for d in at:
                 found[d] = found.get(d, 0) + n
-            for k, table in beginnings:
-                if len(w) > k and (d := table.get(w[:k])) is not None:
-                    found[d] = found.get(d, 0) + n
         return found
 
 
@@ -142,10 +148,14 @@ def joined_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Postings of a block of examples: its terms, where each one's postings begin, examples and weights, and largest weights."""
+    """A block of examples: weights of the frequent terms, and of the others their postings.
+
+    ``terms`` are those with postings, ``starts`` where each one's begin, ``tops`` the largest weights.
+    """
 
     first: int
     size: int
+    frequent: np.ndarray
     terms: np.ndarray
     starts: np.ndarray
     members: np.ndarray
@@ -166,8 +176,10 @@ class Index:
     k: int = 15
     prior: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
+    frequent: int = 64  # terms of the first places, which most examples have, so that postings would save nothing
     blocks: list[Block] = field(default_factory=list)
     find: Finder | None = None
+    tops: np.ndarray | None = None  # term x block
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Dimensions (rising) and weights of the unit vector of a text."""
@@ -186,30 +198,57 @@ class Index:
             dims = np.concatenate([d for d, _ in own])
             weights = np.concatenate([w for _, w in own])
             members = np.repeat(np.arange(len(own)), [len(d) for d, _ in own])
+            head = dims < self.frequent
+            frequent = np.zeros((len(own), self.frequent), np.float32)
+            frequent[members[head], dims[head]] = weights[head]
+            dims, weights, members = dims[~head], weights[~head], members[~head]
             order = np.argsort(dims, kind="stable")
             dims, weights, members = dims[order], weights[order], members[order]
             terms, starts = np.unique(dims, return_index=True)
             tops = np.maximum.reduceat(weights, starts) if len(terms) else np.zeros(0)
-            self.blocks.append(Block(first, len(own), terms, np.append(starts, len(dims)), members, weights, tops))
+            self.blocks.append(Block(first, len(own), frequent, terms, np.append(starts, len(dims)), members, weights, tops))
+        self.tops = None
+
+    def bounds(self, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The largest cosine that an example of each block can have."""
+        if self.tops is None:
+            self.tops = np.zeros((max(len(self.place), self.frequent), len(self.blocks)), np.float32)
+            for i, b in enumerate(self.blocks):
+                self.tops[: self.frequent, i] = b.frequent.max(axis=0)
+                self.tops[b.terms, i] = b.tops
+        return weights @ self.tops[dims] * (1 + 1e-6)  # the table is rounded
+
+    def cosines(self, b: Block, head: np.ndarray, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of all examples of a block; ``head``: the query's weights of the frequent terms, ``dims``, ``weights``: its others."""
+        own = (b.frequent @ head).astype(float)
+        if len(b.terms) and len(dims):
+            at = np.minimum(np.searchsorted(b.terms, dims), len(b.terms) - 1)
+            shared = b.terms[at] == dims
+            at, w = at[shared], weights[shared]
+            starts = b.starts[at]
+            lengths = b.starts[at + 1] - starts
+            where = joined_ranges(starts, lengths)
+            own = own + np.bincount(b.members[where], b.weights[where] * np.repeat(w, lengths), b.size)
+        return own.round(6)
 
     def nearest(self, dims: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the largest cosine, exactly, and their cosines; examples without a common term are none."""
-        met = []
-        for b in self.blocks:
-            at = np.minimum(np.searchsorted(b.terms, dims), len(b.terms) - 1)
-            shared = np.flatnonzero(b.terms[at] == dims) if len(b.terms) else at[:0]
-            met.append((float(weights[shared] @ b.tops[at[shared]]), b, at[shared], weights[shared]))
+        bounds = self.bounds(dims, weights)
+        head = np.zeros(self.frequent, np.float32)
+        split = int(np.searchsorted(dims, self.frequent))
+        head[dims[:split]] = weights[:split]
+        rest, others = dims[split:], weights[split:]
         cos, who = np.zeros(0), np.zeros(0, np.int64)
-        for bound, b, at, w in sorted(met, key=lambda x: -x[0]):
-            if bound <= 0 or (len(cos) >= k and bound < cos[-1] - 1e-9):
+        for i in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[i] <= 0 or (len(cos) >= k and bounds[i] < cos[-1] - 1e-6):
                 break
-            lengths = b.starts[at + 1] - b.starts[at]
-            where = joined_ranges(b.starts[at], lengths)
-            own = np.bincount(b.members[where], b.weights[where] * np.repeat(w, lengths), b.size).round(9)
-            found = np.flatnonzero(own > 0)
-            cos, who = np.concatenate([cos, own[found]]), np.concatenate([who, found + b.first])
-            best = np.lexsort((who, -cos))[:k]
-            cos, who = cos[best], who[best]
+            b = self.blocks[i]
+            own = self.cosines(b, head, rest, others)
+            found = np.flatnonzero(own >= cos[-1]) if len(cos) >= k else np.flatnonzero(own > 0)
+            if len(found):
+                cos, who = np.concatenate([cos, own[found]]), np.concatenate([who, found + b.first])
+                best = np.lexsort((who, -cos))[:k]
+                cos, who = cos[best], who[best]
         return who, cos
 
     def vote(self, who: np.ndarray, cos: np.ndarray, less: int = -1, label: float = 0) -> float:
@@ -281,7 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
                 ys.append(label)
                 ws.append(count)
     index.curve = fit_curve(np.array(votes), np.array(ys), np.array(ws))
-    index.find = None
+    index.find = index.tops = None  # made again where they are needed, not sent
     return index
 
 
