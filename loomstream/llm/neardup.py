@@ -11,12 +11,12 @@
    Texts of few shingles also meet by their smallest shingles, as many as any
    similar text must share one of (a prefix filter), so none of those is missed.
 3. Texts that meet are first linked in stars: each with the smallest text of its
-   bucket; where a bucket still holds several classes, more stars follow with other
-   centres, chosen by a hash that differs by bucket. Then every pair of different
-   classes that still shares a bucket is compared, in tiles of two blocks of a
-   bucket: by histograms of the shingles, whose distance never exceeds the number of
-   shingles that only one text has, and if that leaves a chance, by alignment, the
-   nearest pair of each text first, as their links settle most others.
+   bucket, then with another centre, chosen by a hash that differs by bucket. Then
+   every pair of different classes that still shares a bucket is compared, in tiles of
+   two blocks of a bucket: by size, by histograms of the shingles, whose distance never
+   exceeds the number of shingles that only one text has, and if that leaves a chance,
+   by alignment, the nearest first. Pairs that links of the tile have joined by then
+   need no link, so a tile gives fewer links than it has texts.
 4. A link holds if a banded alignment of the two sequences of labelled shingles
    (their longest common subsequence within the band that the threshold allows)
    matches M shingles with M / (n1 + n2 - M) >= 0.8. The multisets are compared
@@ -55,7 +55,7 @@ class Params:
     threshold: float = THRESHOLD
     rounds: int = 2  # of stars, before the rest is compared pair by pair
     short: int = 12  # shingles up to which a prefix filter joins the sketches
-    block: int = 512  # texts of a bucket that a task holds from each side
+    block: int = 256  # texts of a bucket that a task holds from each side
 
 
 def words_of(text: str) -> list[str]:
@@ -212,44 +212,50 @@ def stars(buckets: DataFrame, heavy: DataFrame, found: DataFrame | None, turn: i
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def unsettled(buckets: DataFrame, found: DataFrame | None, docs: DataFrame, params: Params) -> DataFrame:
-    """a, b, far: the pairs of different classes that share a bucket and may reach the threshold, as far as histograms tell; a < b.
+def remaining(buckets: DataFrame, found: DataFrame | None, docs: DataFrame, params: Params) -> DataFrame:
+    """Links (a, b) among the pairs of different classes that share a bucket: enough of them to join all that are near; a < b.
 
-    A bucket's texts are dealt to blocks, and each pair of blocks is a tile, so that a task holds two blocks and only pairs
-    that pass are sent on. Buckets of two texts are left out: the first star is their only pair.
+    A bucket's texts are dealt to blocks, and each pair of blocks is a tile, so that a task holds two blocks. In a tile,
+    pairs that its links have already joined are left out, so that it has fewer links than texts, and a pair that shares
+    several buckets is compared in the first of them only. Buckets of two texts are left out: the first star is their only pair.
     """
     own = classed(buckets, found)
-    several = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")).where("lo < hi and n > 2")
-    once = several.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))  # buckets of the same texts are one
-    open_rows = saved(own.join(once.select("bucket", F.ceil(F.col("n") / params.block).cast("int").alias("blocks")), "bucket"))
+    several = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi and n > 2")
+    open_rows = saved(own.join(several.select("bucket", F.ceil(F.col("n") / params.block).cast("int").alias("blocks")), "bucket"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for b in batches:
-            seqs = [labelled_shingles(words_of(t), known) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "size": [len(s) for s in seqs], "bins": [histogram(s) for s in seqs]})
+            yield pd.DataFrame({"id": b["id"], "seq": [labelled_shingles(words_of(t), known).tobytes() for t in b["text"]]})
 
-    measured = saved(docs.join(open_rows.select("id").distinct(), "id", "left_semi").select("id", "text").mapInPandas(measure, "id long, size long, bins binary"))
+    # a text is in few buckets, as it has few sketches
+    places = buckets.join(open_rows.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.collect_set("bucket").alias("all"))
+    measured = saved(docs.join(places, "id").select("id", "text").mapInPandas(measure, "id long, seq binary").join(places, "id"))
     dealt = open_rows.withColumn("p", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "id", "class")
-    tiles = tiles.join(measured, "id").select("bucket", "i", "j", "p", "id", "class", "size", "bins").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    tiles = tiles.join(measured, "id").select("bucket", "i", "j", "p", "id", "class", "seq", "all").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "id")
     share = (1 - params.threshold) / (1 + params.threshold)  # of both sizes, that may be in one text only
 
-    def compare(tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        i, j, p = int(tile["i"].iloc[0]), int(tile["j"].iloc[0]), tile["p"].to_numpy()
-        ids, cls, size = tile["id"].to_numpy(), tile["class"].to_numpy(), tile["size"].to_numpy()
-        bins = np.frombuffer(b"".join(tile["bins"]), "<u2").reshape(-1, BINS).astype(np.int32)
+    def compare(tile: pd.DataFrame) -> list[tuple[int, int]]:
+        bucket, i, j, p = int(tile["bucket"].iloc[0]), int(tile["i"].iloc[0]), int(tile["j"].iloc[0]), tile["p"].to_numpy()
+        ids, seqs, all_of = tile["id"].tolist(), [np.frombuffer(x, np.uint64) for x in tile["seq"]], [set(x) for x in tile["all"]]
+        size = np.array([len(x) for x in seqs])
+        bins = np.stack([np.frombuffer(histogram(x), "<u2") for x in seqs]).astype(np.int32)
+        root = np.unique(tile["class"].to_numpy(), return_inverse=True)[1]  # of each text, the number of its class so far
         right = np.flatnonzero(p == j)
+        links = []
         for k, left in enumerate(np.flatnonzero(p == i).tolist()):
             others = right[k + 1 :] if i == j else right
-            total = size[others] + size[left]
-            others = others[(cls[others] != cls[left]) & (np.abs(size[others] - size[left]) <= share * total + 1e-6)]
-            if len(others):
-                apart = np.abs(bins[others] - bins[left]).sum(axis=1) / (size[others] + size[left])
-                near = apart <= share + 1e-9
-                if near.any():
-                    x = ids[others[near]]
-                    yield np.minimum(x, ids[left]), np.maximum(x, ids[left]), apart[near]
+            others = others[(root[others] != root[left]) & (np.abs(size[others] - size[left]) <= share * (size[others] + size[left]) + 1e-6)]
+            if not len(others):
+                continue
+            apart = np.abs(bins[others] - bins[left]).sum(axis=1) / (size[others] + size[left])
+            near = apart <= share + 1e-9
+            for o in others[near][np.argsort(apart[near], kind="stable")].tolist():
+                if root[o] != root[left] and min(all_of[o] & all_of[left]) == bucket and aligned(seqs[left], seqs[o], params.threshold) >= params.threshold:
+                    links.append((min(ids[left], ids[o]), max(ids[left], ids[o])))
+                    root[root == root[o]] = root[left]
+        return links
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def tiles_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,19 +276,12 @@ def unsettled(buckets: DataFrame, found: DataFrame | None, docs: DataFrame, para
             if parts:
                 yield pd.concat(parts) if len(parts) > 1 else parts[0]
 
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held = 0
         for tile in tiles_of(batches):
-            for found_here in compare(tile):
-                out.append(found_here)
-                held += len(found_here[0])
-                if held > 100_000:
-                    yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(("a", "b", "far"), zip(*out, strict=True), strict=True)})
-                    out, held = [], 0
-        if out:
-            yield pd.DataFrame({c: np.concatenate(v) for c, v in zip(("a", "b", "far"), zip(*out, strict=True), strict=True)})
+            links = compare(tile)
+            if links:
+                yield pd.DataFrame(links, columns=["a", "b"])
 
-    return tiles.mapInPandas(run, "a long, b long, far double").dropDuplicates(["a", "b"])
+    return tiles.mapInPandas(run, "a long, b long").distinct()
 
 
 #: Texts up to which those that take part in a link are picked by a broadcast; beyond, by a shuffle.
@@ -367,18 +366,10 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
         links = good if links is None else links.unionByName(good)
         found = components(links)
     if tried is not None:
-        rest = saved(unsettled(buckets, found, taking_part, params).join(tried, ["a", "b"], "left_anti"))
-        ends = rest.select(F.col("a").alias("id"), "*").unionByName(rest.select(F.col("b").alias("id"), "*"))
-        nearest = saved(ends.groupBy("id").agg(F.min(F.struct("far", "a", "b")).alias("n")).select("n.a", "n.b").distinct())
-        if not nearest.isEmpty():
-            links = links.unionByName(saved(verified(nearest, taking_part, params)))
+        more = saved(remaining(buckets, found, taking_part, params))
+        if not more.isEmpty():
+            links = links.unionByName(more)
             found = components(links)
-            of = found.select("id", "class")
-            left = rest.join(nearest, ["a", "b"], "left_anti").join(of.select(F.col("id").alias("a"), F.col("class").alias("ca")), "a", "left").join(of.select(F.col("id").alias("b"), F.col("class").alias("cb")), "b", "left")
-            left = saved(left.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-            if not left.isEmpty():
-                links = links.unionByName(saved(verified(left, taking_part, params)))
-                found = components(links)
     final = same.select("key", "smallest", "id", F.col("id").alias("class"))
     if found is not None:
         final = final.drop("class").join(found, "id", "left").withColumn("class", F.coalesce("class", "id"))
