@@ -51,10 +51,12 @@ def upper_median(ts: str) -> Column:
 
 
 def staleness(rows: DataFrame, days: int = 7) -> DataFrame:
-    """Each symbol's floor-day lag behind the median last date, and whether it is stale."""
+    """Each symbol's floor-day lag behind the median last date, whether it is stale, and the percentage of all symbols that are not."""
     median = rows.agg(upper_median("data_end").alias("median_end"))
     lag = day_lag(F.col("median_end"), F.col("data_end"))
-    return rows.crossJoin(F.broadcast(median)).select("symbol", "data_end", lag.alias("lag_days"), (lag > days).alias("stale"))
+    own = rows.crossJoin(F.broadcast(median)).select("symbol", "data_end", lag.alias("lag_days"), (lag > days).alias("stale"))
+    fresh = own.agg(F.round(100.0 * F.count_if(~F.col("stale")) / F.count("*"), 1).alias("fresh_pct"))  # one row
+    return own.crossJoin(F.broadcast(fresh))
 
 
 def interval_staleness(rows: DataFrame, as_of: str, hours: int = 24, days: int = 7) -> DataFrame:
@@ -137,8 +139,10 @@ def action_stats(actions: DataFrame) -> DataFrame:
     return actions.groupBy("symbol").agg(div.alias("dividends"), spl.alias("splits"), F.count("*").alias("total"), (div > 0).alias("has_dividends"), (spl > 0).alias("has_splits"))
 
 
-def run_summary(ledger: DataFrame) -> DataFrame:
-    return ledger.agg(F.count_if("success").alias("successes"), F.count_if(~F.col("success")).alias("failures"), F.sum("rows").alias("records"))
+def run_summary(ledger: DataFrame, actions: DataFrame) -> DataFrame:
+    """Outcomes and records of a run, and how many dividends and splits it brought."""
+    totals = actions.agg(F.count_if(F.col("action_type") == "dividend").alias("dividends"), F.count_if(F.col("action_type") == "split").alias("splits"))  # one row
+    return ledger.agg(F.count_if("success").alias("successes"), F.count_if(~F.col("success")).alias("failures"), F.sum("rows").alias("records")).crossJoin(F.broadcast(totals))
 
 
 def stage(df: DataFrame, name: str, passed: Column) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import local_time
 
+# Fixed values.
 #: Session name: UTC hours that belong to it, and the hour its bar starts at.
 SESSIONS = {"AM": ((2, 3, 4), 2), "PM": ((6, 7, 8, 9), 6)}
 
@@ -43,7 +44,10 @@ def in_session(bars: DataFrame, since: str | None = None, symbols: Sequence[str]
 
 
 def rolled(bars: DataFrame, start: Column, *keys: str) -> DataFrame:
-    """One bar for each key and start: first open, extremes, last close, summed volume. All of it combines before the shuffle."""
+    """One bar for each key and start: first open, extremes, last close, summed volume. All of it combines before the shuffle.
+
+    A bar that stands twice counts twice: of a feed with repeated keys, take ``audit.last_write`` first.
+    """
     adjusted = [F.max_by("adjusted_close", "bar_ts").alias("adjusted_close")] if "adjusted_close" in bars.columns else []
     return bars.groupBy("symbol", *keys, start.alias("start")).agg(
         F.min_by("open", "bar_ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "bar_ts").alias("close"), *adjusted, F.sum("volume").alias("volume")

@@ -9,14 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import last_write
+from ..operators.coverage import cleanup, upserted
 from ..operators.joins import new_bars
 from ..sources import schemas
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder in the shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """A new folder in the shared folder of ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode, and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -31,27 +34,69 @@ def partition_date() -> Column:
 MOST_LISTED = 2000
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The path and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = hadoop(spark, path)
+    return fs.exists(p)
+
+
+def moved(spark: SparkSession, source: str, target: str) -> None:
+    """Gives a folder its final name, once; a name that is taken means that another writer was first."""
+    p, fs = hadoop(spark, source)
+    to, _ = hadoop(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise RuntimeError(f"{target} was committed by another writer")
+
+
+COMMIT = "version string, ivl string, dt string, replaced boolean"
+
+
 class BarStore:
-    """Bars under a path; ``ivl`` and ``dt`` are partition columns."""
+    """Bars under a path. Each write goes to a version of its own (``data/version=/ivl=/dt=``) and counts once its commit has its name.
+
+    A commit (``commits/<number>``) lists the partitions that its version replaces or adds to, so readers see all of a
+    write or nothing of it, files that a reader has open stay, and a write that fails leaves only files that nobody reads.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def exists(self) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return exists(self.spark, f"{self.path}/commits")
 
     def read(self) -> DataFrame:
+        """The live rows: of each partition the last version that replaced it, and what was added since."""
         if not self.exists():
             return self.spark.createDataFrame([], schemas.BARS + ", dt string")
-        return self.spark.read.schema(schemas.BARS + ", dt string").parquet(self.path)
+        commits = self.spark.read.schema(COMMIT).json(f"{self.path}/commits/*")
+        base = commits.where("replaced").groupBy("ivl", "dt").agg(F.max("version").alias("base"))
+        live = commits.join(base, ["ivl", "dt"], "left").where(F.col("base").isNull() | (F.col("version") >= F.col("base"))).select("version", "ivl", "dt")
+        rows = self.spark.read.schema(schemas.BARS + ", version string, dt string").parquet(f"{self.path}/data")
+        return rows.join(live, ["version", "ivl", "dt"], "left_semi").select(*[c.split()[0] for c in schemas.BARS.split(", ")], "dt")
 
     def bars(self) -> DataFrame:
         return self.read().drop("dt")
 
-    def _write(self, rows: DataFrame, mode: str) -> None:
+    def _commit(self, rows: DataFrame, parts: DataFrame, number: int, replaced: bool) -> None:
+        version = f"{number:09d}-{uuid.uuid4().hex}"
         # rows of a partition come together, so files stay large, and a large partition is split at run time
-        rows.hint("rebalance", "ivl", "dt").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("ivl", "dt").parquet(self.path)
+        rows.withColumn("version", F.lit(version)).hint("rebalance", "ivl", "dt").write.mode("append").partitionBy("version", "ivl", "dt").parquet(f"{self.path}/data")
+        staged = f"{self.path}/staged/{version}"
+        parts.select(F.lit(version).alias("version"), "ivl", "dt", F.lit(replaced).alias("replaced")).write.json(staged)
+        moved(self.spark, staged, f"{self.path}/commits/{number:09d}")
+
+    def _next(self) -> int:
+        """The number after those of the commits that this write builds on."""
+        if not self.exists():
+            return 1
+        p, fs = hadoop(self.spark, f"{self.path}/commits")
+        return 1 + max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=0)
 
     def conform(self, batch: DataFrame) -> DataFrame:
         """The batch with all columns of the store, and its partition date."""
@@ -71,21 +116,51 @@ class BarStore:
         return self.read().where(wanted)
 
     def upsert(self, batch: DataFrame) -> None:
-        """The last write wins on (symbol, ivl, bar_ts). Only partitions that the batch touches are read and replaced."""
-        new = self.conform(batch).withColumn("__seq", F.lit(1))
-        old = self.touched(new).withColumn("__seq", F.lit(0))
-        merged = last_write(old.unionByName(new), "__seq", "created_at").drop("__seq")
-        staged = scratch_dir(self.spark)  # what is read is not overwritten
-        merged.write.parquet(staged)
-        self._write(self.spark.read.schema(merged.schema).parquet(staged), "overwrite")
+        """The last write wins on (symbol, ivl, bar_ts); in a batch, the last created, then the later row. Only partitions that the batch touches are read and replaced."""
+        number, new = self._next(), self.conform(batch).withColumns({"__seq": F.lit(1), "__row": F.monotonically_increasing_id()})
+        old = self.touched(new).withColumns({"__seq": F.lit(0), "__row": F.lit(0).cast("long")})
+        merged = last_write(old.unionByName(new), "__seq", "created_at", "__row").drop("__seq", "__row")
+        self._commit(merged, new.select("ivl", "dt").distinct(), number, True)
 
     def insert_new(self, batch: DataFrame) -> None:
-        """Appends rows whose key is not stored; a correction of a stored bar is not applied."""
-        new = self.conform(batch)
-        fresh = new_bars(new, self.touched(new))
-        staged = scratch_dir(self.spark)
-        fresh.write.parquet(staged)
-        self._write(self.spark.read.schema(fresh.schema).parquet(staged), "append")
+        """Adds rows whose key is not stored; a correction of a stored bar is not applied."""
+        number, new = self._next(), self.conform(batch)
+        self._commit(new_bars(new, self.touched(new)), new.select("ivl", "dt").distinct(), number, False)
+
+
+class VersionedTable:
+    """A table that is replaced as a whole: each version is a folder, and the last one that has its name is the table."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def _last(self) -> int:
+        if not exists(self.spark, f"{self.path}/versions"):
+            return 0
+        p, fs = hadoop(self.spark, f"{self.path}/versions")
+        return max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=0)
+
+    def read(self) -> DataFrame:
+        last = self._last()
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/versions/{last}") if last else self.spark.createDataFrame([], self.schema)
+
+    def replace(self, rows: DataFrame) -> None:
+        number, staged = self._last() + 1, f"{self.path}/staged/{uuid.uuid4().hex}"
+        rows.select(*[c.split()[0] for c in self.schema.split(", ")]).write.parquet(staged)
+        moved(self.spark, staged, f"{self.path}/versions/{number}")
+
+
+def upsert_coverage(table: VersionedTable, batch: DataFrame) -> None:
+    """Writes a batch of coverage rows: one row for each symbol, interval and calendar day stays."""
+    table.replace(upserted(table.read(), batch))
+
+
+def cleanup_coverage(table: VersionedTable, as_of: str) -> DataFrame:
+    """Rewrites the table with the newest row of each key; the rows before and after, and how many went."""
+    before = table.read()
+    table.replace(cleanup(before, as_of))
+    n = before.agg(F.count("*").alias("before")).crossJoin(table.read().agg(F.count("*").alias("after")))  # one row each
+    return n.withColumn("removed", F.col("before") - F.col("after"))
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -99,10 +174,12 @@ def export(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
 
 
-def ledger(batch: DataFrame, run_id: str, path: str) -> None:
-    """One outcome row for each symbol of a written batch."""
-    rows = batch.groupBy("symbol").agg(F.count("*").alias("rows"))
-    rows.select(F.lit(run_id).alias("run_id"), "symbol", "rows", (F.col("rows") > 0).alias("success"), F.lit(None).cast("string").alias("error")).write.mode("append").json(path)
+def ledger(wanted: DataFrame, batch: DataFrame, run_id: str, path: str) -> None:
+    """One outcome row for each symbol that a run wanted or wrote: its rows, or the error that it had none."""
+    written = batch.groupBy("symbol").agg(F.count("*").alias("rows"))
+    rows = wanted.select("symbol").distinct().join(written, "symbol", "full_outer").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+    good = F.col("rows") > 0
+    rows.select(F.lit(run_id).alias("run_id"), "symbol", "rows", good.alias("success"), F.when(~good, "no data").alias("error")).write.mode("append").json(path)
 
 
 LEDGER = "run_id string, symbol string, rows long, success boolean, error string"

@@ -92,6 +92,14 @@ simple("src_bulk_json", lambda v: read["src_bulk_json"](v).select("code", "date"
 simple("src_dividends_json", read["src_dividends_json"], "SELECT code, date, CASE WHEN date = '' THEN '2024-2-5' END AS ex_date, value, date AS paymentDate FROM actions_raw")
 simple("src_splits_json", read["src_splits_json"], "SELECT code, date, split FROM actions_raw")
 simple("src_listing_json", read["src_listing_json"], "SELECT Code, Name, Exchange, Currency FROM listing_raw")
+simple(
+    "src_listing_first_hit", lambda v: feeds.first_hit(read["src_listing_json"](v).unionByName(read["src_listing_json"](v).withColumn("Name", F.concat(F.lit("A "), "Name"))), "Code", "Name").select("Code", "Name"),
+    "SELECT Code, min(Name) AS Name FROM (SELECT Code, Name FROM listing_raw UNION ALL SELECT Code, concat('A ', Name) FROM listing_raw) GROUP BY 1",
+)
+symbol_dividends = lambda v: per_symbol(v).select("symbol", "date", F.col("value").cast("double").alias("value"), "currency", "paymentDate", "recordDate", "declarationDate", "period")
+QUALIFIED_CODE = "CASE WHEN contains(code, '.') THEN code ELSE concat(code, '.JK') END AS symbol"
+simple("src_dividends_symbol_json", lambda v: feeds.read_dividends(v.spark, landed(symbol_dividends(v))).select("symbol", "date", "value", "paymentDate"), f"SELECT {QUALIFIED_CODE}, date, CAST(value AS DOUBLE) AS value, date AS paymentDate FROM actions_raw")
+simple("src_splits_symbol_json", lambda v: feeds.read_splits(v.spark, landed(v.actions_raw.select(scalar.qualified("code").alias("symbol"), "date", "split"))).select("symbol", "date", "split"), f"SELECT {QUALIFIED_CODE}, date, split FROM actions_raw")
 
 
 @query("src_symbol_list", "SELECT concat('U', c_custkey, '.JK') AS symbol FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0")
@@ -259,6 +267,7 @@ uneven = lambda v: rollup(v).withColumn("data_end", F.col("data_end") - F.expr("
 UNEVEN = f"(SELECT symbol, data_end - to_days(CAST(total_records % 13 AS INTEGER)) AS data_end, total_records FROM ({ROLLUP_SQL}))"
 MEDIAN = "(SELECT data_end FROM (SELECT data_end, row_number() OVER (ORDER BY data_end) AS i, count(*) OVER () AS n FROM {0}) WHERE i = n // 2 + 1)"
 STALE_SQL = f"SELECT symbol, data_end, CAST(floor(epoch({MEDIAN.format(UNEVEN)} - data_end) / 86400) AS INTEGER) AS lag_days, floor(epoch({MEDIAN.format(UNEVEN)} - data_end) / 86400) > 7 AS stale FROM {UNEVEN}"
+STALE_SQL = f"SELECT *, round(100.0 * count(*) FILTER (WHERE NOT stale) OVER () / count(*) OVER (), 1) AS fresh_pct FROM ({STALE_SQL})"
 simple("agg_staleness_eod", lambda v: audit.staleness(uneven(v)), STALE_SQL, "data_end")
 ends = lambda v: coverage.coverage(v.bars_1h.unionByName(v.bars_d.where("volume % 4 = 0")))
 ENDS = "(SELECT symbol, ivl, max(bar_ts) AS data_end FROM (SELECT * FROM bars_1h UNION ALL SELECT * FROM bars_d WHERE volume % 4 = 0) GROUP BY 1, 2)"
@@ -292,14 +301,22 @@ BOTH = f"({DIV_BULK_SQL} UNION ALL {SPLIT_BULK_SQL})"
 simple("agg_action_stats", lambda v: audit.action_stats(both_actions(v)), f"SELECT symbol, count(*) FILTER (WHERE action_type = 'dividend') AS dividends, count(*) FILTER (WHERE action_type = 'split') AS splits, count(*) AS total, count(*) FILTER (WHERE action_type = 'dividend') > 0 AS has_dividends, count(*) FILTER (WHERE action_type = 'split') > 0 AS has_splits FROM {BOTH} GROUP BY 1")
 
 
-@query("agg_audit_report", f"""SELECT * FROM (SELECT 'duplicates' AS stage, count(*) = 0 AS passed FROM ({DUP_SQL.format("symbol, ivl", "symbol, ivl, bar_ts", "bars_dirty", 30)}) UNION ALL SELECT 'freshness', count(*) FILTER (WHERE stale) = 0 FROM ({STALE_SQL})
-UNION ALL SELECT 'ohlc', count(*) FILTER (WHERE high < low) = 0 FROM bars_1h UNION ALL SELECT 'overall', false)""")
+AUDITS = {
+    "duplicates": DUP_SQL.format("symbol, ivl", "symbol, ivl, bar_ts", "bars_dirty", 30), "freshness": f"SELECT 1 FROM ({STALE_SQL}) WHERE stale", "rows": f"SELECT 1 FROM ({ROLLUP_SQL}) WHERE total_records < 0.8 * (SELECT max(total_records) FROM ({ROLLUP_SQL}))",
+    "ohlc": "SELECT 1 FROM bars_1h WHERE high < low", "reconciliation": reconcile_sql("vendor_eod", "store_eod", "day"),
+    "completeness": f"SELECT 1 FROM ({TRIMMED}) WHERE symbol IN (SELECT symbol FROM bars_1h GROUP BY 1 ORDER BY count(*) DESC, symbol LIMIT 5) GROUP BY symbol, ivl HAVING avg(bars) < 0.7 * 6",
+    "gaps": f"SELECT 1 FROM (SELECT DISTINCT symbol FROM {PAIRS}) s CROSS JOIN (SELECT DISTINCT ivl FROM {PAIRS}) i WHERE (SELECT count(DISTINCT ivl) FROM {PAIRS}) = 3 AND (s.symbol, i.ivl) NOT IN (SELECT (symbol, ivl) FROM {PAIRS})",
+}
+AUDIT_SQL = " UNION ALL ".join(f"SELECT '{name}' AS stage, count(*) = 0 AS passed FROM ({sql})" for name, sql in AUDITS.items())
+
+
+@query("agg_audit_report", f"SELECT * FROM ({AUDIT_SQL}) UNION ALL SELECT 'overall', bool_and(passed) FROM ({AUDIT_SQL})")
 def _(v: Views) -> DataFrame:
-    dups = audit.duplicates(v.bars_dirty, "symbol", "ivl", "bar_ts", days=30, data_end=AS_OF).agg(F.count("*").alias("n"))
-    stale = audit.staleness(uneven(v)).agg(F.count_if("stale").alias("n"))
-    bad = v.bars_1h.agg(F.count_if(filters.inverted()).alias("n"))
-    none = F.col("n") == 0
-    return audit.report(audit.stage(dups, "duplicates", none), audit.stage(stale, "freshness", none), audit.stage(bad, "ohlc", none))
+    found = {
+        "duplicates": audit.duplicates(v.bars_dirty, "symbol", "ivl", "bar_ts", days=30, data_end=AS_OF), "freshness": audit.staleness(uneven(v)).where("stale"), "rows": audit.row_gaps(rollup(v)), "ohlc": v.bars_1h.where(filters.inverted()),
+        "reconciliation": joins.reconcile(v.vendor_eod, v.store_eod), "completeness": audit.session_completeness(v.bars_1h, AS_OF).where("low"), "gaps": coverage.interval_gaps(pairs(v), ["5m", "15m", "1h"]),
+    }
+    return audit.report(*[audit.stage(df.agg(F.count("*").alias("n")), name, F.col("n") == 0) for name, df in found.items()])
 
 
 # --- windows, order and sets -----------------------------------------------------------------------------------------
@@ -327,8 +344,17 @@ def _(v: Views) -> DataFrame:
 
 simple("topk_stale", lambda v: audit.staleness(uneven(v)).orderBy(F.desc("lag_days"), "symbol").limit(15), f"SELECT * FROM ({STALE_SQL}) ORDER BY lag_days DESC, symbol LIMIT 15", "data_end")
 simple("topk_partitions", lambda v: audit.partition_profile(v.bars_d, AS_OF).orderBy(F.desc("rows"), "day").limit(5), f"SELECT * FROM ({PROFILE}) ORDER BY rows DESC, day LIMIT 5", "day")
-simple("limit_symbols", lambda v: v.listing_raw.select("Code", "Name").orderBy("Name").limit(50), "SELECT Code, Name FROM listing_raw ORDER BY Name LIMIT 50")
-simple("sample_symbols", lambda v: v.bars_d.select("symbol").distinct().orderBy(F.xxhash64("symbol", F.lit(7)), "symbol").limit(10))
+
+
+def listed_file(v: Views) -> str:
+    """A symbol list, one code on each line, that is not in the order of the names."""
+    path = st.scratch_dir(v.spark)
+    v.table("customer").where("c_mktsegment <> 'BUILDING'").orderBy(F.desc("c_custkey")).select(F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+simple("limit_symbols", lambda v: feeds.first_symbols(v.spark, listed_file(v), 50), "SELECT concat('U', c_custkey, '.JK') AS symbol FROM customer WHERE c_mktsegment <> 'BUILDING' ORDER BY c_custkey DESC LIMIT 50")
+simple("sample_symbols", lambda v: v.bars_d.select("symbol").distinct().orderBy(F.md5(F.concat(F.lit("7"), "symbol")), "symbol").limit(10), "SELECT DISTINCT symbol FROM (SELECT symbol FROM (SELECT DISTINCT symbol FROM bars_d) ORDER BY md5(concat('7', symbol)), symbol LIMIT 10)")
 simple("set_difference", lambda v: v.tracked.select("symbol").subtract(v.store_eod.select("symbol")), f"SELECT symbol FROM tracked EXCEPT SELECT symbol FROM {STORED}")
 simple("set_union_keys", lambda v: v.vendor_eod.select("symbol", "bar_ts").union(v.store_eod.select("symbol", "bar_ts")).distinct(), "SELECT symbol, bar_ts FROM vendor_eod UNION SELECT symbol, bar_ts FROM store_eod", "bar_ts")
 
@@ -387,7 +413,17 @@ UPDATED = "(SELECT * REPLACE (total_records + 5 AS total_records, last_updated +
 @query("sink_coverage_upsert", f"SELECT h.symbol, h.ivl, h.last_updated, coalesce(u.total_records, h.total_records) AS total_records, h.data_start, h.data_end FROM coverage_hist h LEFT JOIN {UPDATED} u ON u.symbol = h.symbol AND u.ivl = h.ivl AND CAST(u.last_updated AS DATE) = CAST(h.last_updated AS DATE)", "last_updated data_start data_end")
 def _(v: Views) -> DataFrame:
     batch = v.coverage_hist.where("last_updated = timestamp '2024-01-29' and total_records % 2 = 0").withColumns({"total_records": F.col("total_records") + 5, "last_updated": F.col("last_updated") + F.expr("interval 6 hours")})
-    return coverage.upserted(v.coverage_hist, batch)
+    table = st.VersionedTable(v.spark, st.scratch_dir(v.spark), feeds.schemas.COVERAGE)
+    table.replace(v.coverage_hist)
+    st.upsert_coverage(table, batch)
+    return table.read()
+
+
+@query("sink_metadata_cleanup", "SELECT count(*) AS before, count(DISTINCT (symbol, ivl)) AS after, count(*) - count(DISTINCT (symbol, ivl)) AS removed FROM coverage_hist")
+def _(v: Views) -> DataFrame:
+    table = st.VersionedTable(v.spark, st.scratch_dir(v.spark), feeds.schemas.COVERAGE)
+    table.replace(v.coverage_hist)
+    return st.cleanup_coverage(table, AS_OF)
 
 
 @query("sink_export", f"SELECT {BAR} FROM bars_d", "bar_ts")
@@ -396,20 +432,20 @@ def _(v: Views) -> DataFrame:
     st.export(v.bars_d, path)
     csv = v.spark.read.schema(v.bars_d.schema).option("header", True).csv(f"{path}/csv")
     same = v.spark.read.schema(v.bars_d.schema).parquet(f"{path}/parquet")
-    return same.join(csv.select("symbol", "bar_ts"), ["symbol", "bar_ts"], "left_semi").select(*v.bars_d.columns)
+    return same.intersectAll(csv)
 
 
-LEDGER_SQL = "SELECT symbol, count(*) AS rows, true AS success FROM vendor_eod GROUP BY 1"
+LEDGER_SQL = "SELECT symbol, count(v.symbol) AS rows, count(v.symbol) > 0 AS success, CASE WHEN count(v.symbol) = 0 THEN 'no data' END AS error FROM (SELECT symbol FROM tracked UNION SELECT symbol FROM vendor_eod) w(symbol) LEFT JOIN (SELECT symbol FROM vendor_eod) v USING (symbol) GROUP BY 1"
 
 
 def run_ledger(v: Views) -> DataFrame:
     path = st.scratch_dir(v.spark)
-    st.ledger(v.vendor_eod, "run-1", path)
+    st.ledger(v.tracked, v.vendor_eod, "run-1", path)
     return v.spark.read.schema(st.LEDGER).json(path)
 
 
-simple("sink_run_ledger", lambda v: run_ledger(v).select("symbol", "rows", "success"), LEDGER_SQL)
-simple("agg_run_summary", lambda v: audit.run_summary(run_ledger(v)), f"SELECT count(*) FILTER (WHERE success) AS successes, count(*) FILTER (WHERE NOT success) AS failures, CAST(sum(rows) AS BIGINT) AS records FROM ({LEDGER_SQL})")
+simple("sink_run_ledger", lambda v: run_ledger(v).select("symbol", "rows", "success", "error"), LEDGER_SQL)
+simple("agg_run_summary", lambda v: audit.run_summary(run_ledger(v), both_actions(v)), f"SELECT *, (SELECT count(*) FROM {BOTH} WHERE action_type = 'dividend') AS dividends, (SELECT count(*) FROM {BOTH} WHERE action_type = 'split') AS splits FROM (SELECT count(*) FILTER (WHERE success) AS successes, count(*) FILTER (WHERE NOT success) AS failures, CAST(sum(rows) AS BIGINT) AS records FROM ({LEDGER_SQL}))")
 
 
 @query("stream_ingest_bars", f"SELECT {BAR} FROM ({LAST})", "bar_ts")

@@ -53,6 +53,14 @@ def symbol_list(lines: DataFrame, suffix: str = ".JK") -> DataFrame:
     return lines.where((line != "") & ~line.startswith("#")).select(suffixed(line, suffix).alias("symbol"))
 
 
+def first_symbols(spark: SparkSession, path: str, n: int, suffix: str = ".JK") -> DataFrame:
+    """The first n symbols of a list in the order of its lines."""
+    at = ["file", "block", "row"]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).withColumn("row", F.monotonically_increasing_id())
+    line = F.trim("value")
+    return lines.where((line != "") & ~line.startswith("#")).select(suffixed(line, suffix).alias("symbol"), *at).orderBy(*at).limit(n).select("symbol")
+
+
 def bars_range(bars: DataFrame, symbol: str, ivl: str, start: str, end: str, limit: int = 500) -> DataFrame:
     """Bars of one symbol and interval within [start, end], oldest first."""
     hit = (F.col("symbol") == symbol) & (F.col("ivl") == ivl) & F.col("bar_ts").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))

@@ -76,7 +76,7 @@ class Views:
 
     @cached_property
     def listing_raw(self) -> DataFrame:
-        own = self.table("customer").where("c_custkey < 200 and c_custkey % 10 <> 0")
+        own = self.table("customer").where("c_mktsegment <> 'BUILDING'")
         none = F.lit(None).cast("string")
         return own.select(
             F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("Code"), F.col("c_name").alias("Name"), F.lit("JK").alias("Exchange"), none.alias("Sector"), none.alias("Industry"),
@@ -85,7 +85,7 @@ class Views:
 
     @cached_property
     def tracked(self) -> DataFrame:
-        return self.table("customer").where("c_custkey < 180 and c_custkey % 7 <> 0").select(F.concat(F.lit("U"), F.col("c_custkey").cast("string"), F.lit(".JK")).alias("symbol"))
+        return self.table("customer").where("c_acctbal >= 0").select(F.concat(F.lit("U"), F.col("c_custkey").cast("string"), F.lit(".JK")).alias("symbol"))
 
     @cached_property
     def actions_raw(self) -> DataFrame:
@@ -126,8 +126,8 @@ coverage_hist AS (
 latest AS (SELECT * FROM coverage_hist QUALIFY row_number() OVER (PARTITION BY symbol, ivl ORDER BY last_updated DESC) = 1),
 listing_raw AS (
   SELECT concat('U', c_custkey) AS Code, c_name AS Name, 'JK' AS Exchange, CAST(NULL AS VARCHAR) AS Sector, CAST(NULL AS VARCHAR) AS Industry, CASE WHEN c_custkey % 4 <> 0 THEN 'IDR' END AS Currency
-  FROM customer WHERE c_custkey < 200 AND c_custkey % 10 <> 0),
-tracked AS (SELECT concat('U', c_custkey, '.JK') AS symbol FROM customer WHERE c_custkey < 180 AND c_custkey % 7 <> 0),
+  FROM customer WHERE c_mktsegment <> 'BUILDING'),
+tracked AS (SELECT concat('U', c_custkey, '.JK') AS symbol FROM customer WHERE c_acctbal >= 0),
 actions_raw AS (
   SELECT concat('S', l_suppkey, CASE WHEN l_linenumber % 2 = 1 THEN '.JK' ELSE '' END) AS code, CASE l_linenumber WHEN 7 THEN '' WHEN 6 THEN 'bad' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
     CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS value,

@@ -23,13 +23,13 @@ def ingest_bars(feed: DataFrame, normalise: Callable[[DataFrame], DataFrame], st
 
 
 def keep_session_bars(bars: DataFrame, source: BarStore, target: BarStore, checkpoint: str, as_of: str) -> None:
-    """As 1h bars arrive, stores them and makes again only the sessions that they touch."""
+    """As 1h bars arrive, stores them and makes again only the sessions that they touch; a session lies within a day, so only those partitions are read."""
 
     def step(batch: DataFrame, _: int) -> None:
         source.upsert(batch)
         start = sessions.session_of("bar_ts")[1]
         touched = sessions.in_session(batch).select("symbol", start.alias("session_ts")).distinct()
-        near = source.bars().withColumn("session_ts", start).join(touched, ["symbol", "session_ts"], "left_semi").drop("session_ts")
+        near = source.touched(source.conform(batch)).drop("dt").withColumn("session_ts", start).join(touched, ["symbol", "session_ts"], "left_semi").drop("session_ts")
         target.upsert(sessions.session_bars(near).withColumn("created_at", F.lit(as_of).cast("timestamp")))
 
     query = bars.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -12,6 +12,7 @@ from loomstream.operators import audit, coverage, filters, joins, normalize, ses
 from loomstream.plans import store as st
 from loomstream.sources import feeds
 from loomstream.sources.fixtures import AS_OF
+from loomstream.streaming import ingest
 
 BAR = "symbol string, ivl string, bar_ts timestamp, open double, high double, low double, close double, volume long"
 
@@ -159,3 +160,49 @@ def test_multi_line_arrays(spark, tmp_path):
     (tmp_path / "symbol=A" / "period=d" / "x.json").write_text('[\n {"date": "2024-01-02", "open": 1, "high": 2, "low": 1, "close": 1.5, "volume": 7},\n {"date": "bad", "open": 1}\n]')
     df = feeds.read_feed(spark, str(tmp_path), feeds.schemas.EOD, multi_line=True)
     assert df.count() == 2 and [(r.symbol, r.ivl, r.volume) for r in normalize.eod(df, AS_OF).collect()] == [("A", "d", 7)]
+
+
+def test_store_commits_whole_writes(spark, bars):
+    """Within a batch the later row wins; a reader's rows stay while others write; of two writers of one version, one fails."""
+    store = st.BarStore(spark, st.scratch_dir(spark))
+    store.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 2), 1), ("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 9), 1)).coalesce(1))
+    old = store.bars()
+    assert [r.close for r in old.collect()] == [9]
+    store.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 5), 1), ("A", "d", "2024-02-02 00:00:00", P, 1)))
+    assert [r.close for r in old.collect()] == [9] and sorted(r.close for r in store.bars().collect()) == [2, 5]
+    late = st.BarStore(spark, store.path)
+    late._next = lambda: 2
+    with pytest.raises(RuntimeError):
+        late.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 7), 1)))
+    assert sorted(r.close for r in store.bars().collect()) == [2, 5]
+    store.insert_new(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 8), 1), ("A", "d", "2024-01-03 00:00:00", (1, 3, 1, 6), 1)))
+    assert sorted(r.close for r in store.bars().collect()) == [2, 5, 6]
+
+
+def test_streams_over_several_batches(spark, bars):
+    """Three micro-batches, the last one a correction of the first day: the session bar is made again, others stay."""
+    landing, checkpoint = st.scratch_dir(spark), st.scratch_dir(spark)
+    source, target = (st.BarStore(spark, st.scratch_dir(spark)) for _ in range(2))
+    days = [("2024-01-02 02:00:00", 2), ("2024-01-03 02:00:00", 3), ("2024-01-02 02:00:00", 7)]
+    for at, close in days:
+        df = bars(("A", "1h", at, (1, 9, 1, close), 10))
+        df.coalesce(1).write.mode("append").parquet(landing)
+        ingest.keep_session_bars(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(landing), source, target, checkpoint, AS_OF)
+    assert sorted((r.bar_ts.day, r.close, r.volume) for r in target.bars().collect()) == [(2, 7, 10), (3, 3, 10)]
+
+
+def test_first_symbols_follow_the_lines(spark):
+    path = st.scratch_dir(spark)
+    spark.createDataFrame([(x,) for x in ("# list", "ZZZ", "", "BBB.JK", " AAA ", "CCC")], "value string").coalesce(1).write.text(path)
+    assert [r.symbol for r in feeds.first_symbols(spark, path, 3).collect()] == ["ZZZ.JK", "BBB.JK", "AAA.JK"]
+
+
+def test_versioned_table(spark):
+    table = st.VersionedTable(spark, st.scratch_dir(spark), "symbol string, ivl string, last_updated timestamp, total_records long, data_start timestamp, data_end timestamp")
+    assert table.read().count() == 0
+    rows = spark.sql("select symbol, 'd' ivl, timestamp '2024-01-02 03:00:00' + make_interval(0, 0, 0, d) last_updated, cast(n as long) total_records, timestamp '2024-01-01' data_start, timestamp '2024-01-02' data_end from values ('A', 0, 1), ('A', 1, 2), ('B', 0, 3) t(symbol, d, n)")
+    table.replace(rows)
+    st.upsert_coverage(table, rows.where("symbol = 'A' and total_records = 2").withColumn("total_records", F.lit(5).cast("long")))
+    assert sorted((r.symbol, r.total_records) for r in table.read().collect()) == [("A", 1), ("A", 5), ("B", 3)]
+    assert tuple(st.cleanup_coverage(table, AS_OF).head()) == (3, 2, 1)
+    assert sorted((r.symbol, r.total_records) for r in table.read().collect()) == [("A", 5), ("B", 3)]
