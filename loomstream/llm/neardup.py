@@ -55,7 +55,8 @@ class Params:
     threshold: float = THRESHOLD
     rounds: int = 2  # of stars, before the rest is compared pair by pair
     short: int = 12  # shingles up to which a prefix filter joins the sketches
-    block: int = 256  # texts of a bucket that a task holds from each side
+    block: int = 2048  # texts of a bucket that a task holds from each side
+    block_bytes: int = 32 << 20  # of their shingles, on the average of the bucket's blocks
 
 
 def words_of(text: str) -> list[str]:
@@ -175,20 +176,21 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
 
 
 def sketched(docs: DataFrame, params: Params) -> DataFrame:
-    """``doc_id``, ``key`` of the words, the sketches, and ``row`` (a place in the batch), for every document."""
+    """``doc_id``, ``key`` of the words, the sketches, the number of shingles, and ``row`` (a place in the batch), for every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for b in batches:
-            keys, out = [], []
+            keys, out, sizes = [], [], []
             for text in b["text"]:
                 words = words_of(text)
                 keys.append(text_key(words))
                 s = labelled_shingles(words, known)
                 out.append(np.concatenate([sketch(s, params), prefix(s, params)]).view(np.int64))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "key": keys, "sketches": out, "row": np.arange(len(b), dtype=np.int32)})
+                sizes.append(len(s))
+            yield pd.DataFrame({"doc_id": b["doc_id"], "key": keys, "sketches": out, "size": sizes, "row": np.arange(len(b), dtype=np.int32)})
 
-    return texts(docs).mapInPandas(run, "doc_id long, key string, sketches array<long>, row int")
+    return texts(docs).mapInPandas(run, "doc_id long, key string, sketches array<long>, size int, row int")
 
 
 def classed(rows: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -215,13 +217,17 @@ def stars(buckets: DataFrame, heavy: DataFrame, found: DataFrame | None, turn: i
 def remaining(buckets: DataFrame, found: DataFrame | None, docs: DataFrame, params: Params) -> DataFrame:
     """Links (a, b) among the pairs of different classes that share a bucket: enough of them to join all that are near; a < b.
 
-    A bucket's texts are dealt to blocks, and each pair of blocks is a tile, so that a task holds two blocks. In a tile,
+    A bucket's texts are dealt to blocks of bounded number and size, and each pair of blocks is a tile, so that a task holds two blocks. In a tile,
     pairs that its links have already joined are left out, so that it has fewer links than texts, and a pair that shares
     several buckets is compared in the first of them only. Buckets of two texts are left out: the first star is their only pair.
     """
     own = classed(buckets, found)
-    several = own.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi and n > 2")
-    open_rows = saved(own.join(several.select("bucket", F.ceil(F.col("n") / params.block).cast("int").alias("blocks")), "bucket"))
+    several = own.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"), F.sum("size").alias("shingles"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")
+    ).where("lo < hi and n > 2")
+    blocks = F.ceil(F.greatest(F.col("n") / params.block, F.col("shingles") * 8 / params.block_bytes)).cast("int")
+    once = several.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.min(blocks).alias("blocks"))  # of buckets of the same texts, the first
+    open_rows = saved(own.drop("size").join(once.select("bucket", "blocks"), "bucket"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -345,10 +351,10 @@ def classes(docs: DataFrame, params: Params = Params()) -> DataFrame:
     prepare(docs.sparkSession)
     every = saved(sketched(docs, params))
     # a text's id is a hash of its key, so texts that share a doc_id, or have none, stay apart
-    same = every.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.first("sketches").alias("sketches"))
-    same = saved(same.select("key", "smallest", F.xxhash64("key").alias("id"), "sketches"))
+    same = every.groupBy("key").agg(F.min("doc_id").alias("smallest"), F.first("sketches").alias("sketches"), F.first("size").alias("size"))
+    same = saved(same.select("key", "smallest", F.xxhash64("key").alias("id"), "sketches", "size"))
     # what follows the sketches is the prefix, in which places don't count
-    rows = same.select("id", F.posexplode("sketches").alias("i", "h")).select("id", F.xxhash64(F.least("i", F.lit(params.sketches)), "h").alias("bucket"))
+    rows = same.select("id", "size", F.posexplode("sketches").alias("i", "h")).select("id", "size", F.xxhash64(F.least("i", F.lit(params.sketches)), "h").alias("bucket"))
     shared = rows.groupBy("bucket").count().where("count > 1").select("bucket")
     buckets = saved(rows.join(shared, "bucket"))
     taking_part = saved(texts_of(docs, saved(same.drop("sketches").join(buckets.select("id").distinct(), "id", "left_semi"))))
