@@ -46,7 +46,7 @@ BEGINNINGS = (5, 7)
 @dataclass(frozen=True)
 class Params:
     max_rows: int = 20_000  # labelled rows that terms are rated by, those with the smallest hash of doc_id
-    examples: int = 2_000  # of them, rows that are indexed as neighbours
+    examples: int = 1_500  # of them, rows that are indexed as neighbours
     least_rows: int = 5  # toxic rows that a relevant term occurs in
     significance: tuple[float, float] = (2.0, 6.0)  # roots of the likelihood ratio between which the relevance rises
     background: float = 0.1  # relevance of all other terms
