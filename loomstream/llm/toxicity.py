@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -130,8 +130,7 @@ def document_frequencies(docs: DataFrame, place: dict[str, int]) -> np.ndarray:
         for b in batches:
             for text in b["text"]:
                 n[-1] += 1
-                for d in find(text):
-                    n[d] += 1
+                n[list(find(text))] += 1
         at = np.flatnonzero(n)
         yield pd.DataFrame({"i": at, "n": n[at]})
 
@@ -176,7 +175,8 @@ class Index:
     k: int = 15
     prior: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
-    frequent: int = 64  # terms of the first places, which most examples have, so that postings would save nothing
+    frequent: int = 256  # terms of the first places, which many examples have, so that postings would save little
+    together: int = 128  # queries that are compared at once
     blocks: list[Block] = field(default_factory=list)
     find: Finder | None = None
     tops: np.ndarray | None = None  # term x block
@@ -186,7 +186,7 @@ class Index:
         if self.find is None:
             self.find = Finder(self.place)
         found = self.find(text)
-        dims = np.fromiter(found.keys(), np.int32, len(found))
+        dims = np.fromiter(found.keys(), np.int64, len(found))
         w = np.log1p(np.fromiter(found.values(), float, len(found))) * self.scale[dims]
         order = np.argsort(dims)
         return dims[order], (w / np.sqrt(w @ w) if len(w) else w)[order].round(6)
@@ -199,7 +199,7 @@ class Index:
             weights = np.concatenate([w for _, w in own])
             members = np.repeat(np.arange(len(own)), [len(d) for d, _ in own])
             head = dims < self.frequent
-            frequent = np.zeros((len(own), self.frequent), np.float32)
+            frequent = np.zeros((len(own), self.frequent))
             frequent[members[head], dims[head]] = weights[head]
             dims, weights, members = dims[~head], weights[~head], members[~head]
             order = np.argsort(dims, kind="stable")
@@ -218,38 +218,57 @@ class Index:
                 self.tops[b.terms, i] = b.tops
         return weights @ self.tops[dims] * (1 + 1e-6)  # the table is rounded
 
-    def cosines(self, b: Block, head: np.ndarray, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of all examples of a block; ``head``: the query's weights of the frequent terms, ``dims``, ``weights``: its others."""
-        own = (b.frequent @ head).astype(float)
+    def cosines(self, b: Block, head: np.ndarray, owner: np.ndarray, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Queries x examples of a block: cosines in millionths.
+
+        ``head``: a row of weights of the frequent terms for each query; ``owner``, ``dims``, ``weights``: the queries' other terms.
+        """
+        own = head @ b.frequent.T
         if len(b.terms) and len(dims):
             at = np.minimum(np.searchsorted(b.terms, dims), len(b.terms) - 1)
             shared = b.terms[at] == dims
-            at, w = at[shared], weights[shared]
+            at, w, q = at[shared], weights[shared], owner[shared]
             starts = b.starts[at]
             lengths = b.starts[at + 1] - starts
             where = joined_ranges(starts, lengths)
-            own = own + np.bincount(b.members[where], b.weights[where] * np.repeat(w, lengths), b.size)
-        return own.round(6)
-
-    def nearest(self, dims: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine, exactly, and their cosines; examples without a common term are none."""
-        bounds = self.bounds(dims, weights)
-        head = np.zeros(self.frequent, np.float32)
-        split = int(np.searchsorted(dims, self.frequent))
-        head[dims[:split]] = weights[:split]
-        rest, others = dims[split:], weights[split:]
-        cos, who = np.zeros(0), np.zeros(0, np.int64)
-        for i in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[i] <= 0 or (len(cos) >= k and bounds[i] < cos[-1] - 1e-6):
-                break
-            b = self.blocks[i]
-            own = self.cosines(b, head, rest, others)
-            found = np.flatnonzero(own >= cos[-1]) if len(cos) >= k else np.flatnonzero(own > 0)
-            if len(found):
-                cos, who = np.concatenate([cos, own[found]]), np.concatenate([who, found + b.first])
-                best = np.lexsort((who, -cos))[:k]
-                cos, who = cos[best], who[best]
-        return who, cos
+            own += np.bincount(np.repeat(q * b.size, lengths) + b.members[where], b.weights[where] * np.repeat(w, lengths), own.size).reshape(own.shape)
+        return np.rint(own * 1e6).astype(np.int64)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the k examples of the largest cosine, exactly, and their cosines; examples without a common term are none."""
+        for first in range(0, len(queries), self.together):
+            yield from self.nearest_together(queries[first : first + self.together], k)
+
+    def nearest_together(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for a few queries, each of which visits its next block as long as that can hold one of its k."""
+        bounds = np.stack([self.bounds(*q) for q in queries])
+        visits = np.argsort(-bounds, axis=1, kind="stable")
+        dims, weights = (np.concatenate([q[i] for q in queries]) for i in range(2))
+        owner = np.repeat(np.arange(len(queries)), [len(d) for d, _ in queries])
+        often = dims < self.frequent
+        head = np.zeros((len(queries), self.frequent))
+        head[owner[often], dims[often]] = weights[often]
+        dims, weights, owner = dims[~often], weights[~often], owner[~often]
+        # one number for a cosine and an example: larger for the larger cosine, then for the smaller example; 0 for none
+        best = np.zeros((len(queries), k), np.int64)
+        for visit in range(len(self.blocks)):
+            at = visits[:, visit]
+            bound = bounds[np.arange(len(queries)), at]
+            going = (bound > 0) & (bound * 1e6 >= (best[:, 0] >> 32) - 1)
+            for i in np.unique(at[going]).tolist():
+                b = self.blocks[i]
+                own = np.flatnonzero(going & (at == i))
+                row = np.full(len(queries), -1)
+                row[own] = np.arange(len(own))
+                kept = row[owner] >= 0
+                cos = self.cosines(b, head[own], row[owner[kept]], dims[kept], weights[kept])
+                found = np.where(cos > 0, (cos << 32) + (2**32 - 1 - b.first - np.arange(b.size)), 0)
+                both = np.concatenate([best[own], found], axis=1)
+                best[own] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            best.sort(axis=1)
+        for own in best[:, ::-1]:
+            own = own[own > 0]
+            yield 2**32 - 1 - (own & (2**32 - 1)), (own >> 32) / 1e6
 
     def vote(self, who: np.ndarray, cos: np.ndarray, less: int = -1, label: float = 0) -> float:
         """Weighted share of label 1 among neighbours; ``less``: an example that one row of this label is left out of."""
@@ -264,11 +283,12 @@ class Index:
         v = min(max(vote, 1e-4), 1 - 1e-4)
         return float(1 / (1 + np.exp(-(a + b * np.log(v / (1 - v))))))
 
-    def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
+    def scores(self, given: Iterable[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, and ids and cosines of the nearest examples, of each text."""
         if not len(self.ids):
-            return self.prior, np.zeros(0, np.int64), np.zeros(0)
-        who, cos = self.nearest(*self.vector(text), self.k)
-        return self.probability(self.vote(who, cos)), self.ids[who], cos
+            return [(self.prior, np.zeros(0, np.int64), np.zeros(0)) for _ in given]
+        found = self.nearest([self.vector(t) for t in given], self.k)
+        return [(self.probability(self.vote(who, cos)), self.ids[who], cos) for who, cos in found]
 
 
 def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -309,11 +329,10 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
         own[2] += label
     keys = sorted(merged)
     index.ids, index.n, index.pos = (np.array([merged[k][i] for k in keys]) for i in range(3))
-    vectors = [(np.array(d, np.int32), np.array(w)) for d, w in keys]
+    vectors = [(np.array(d, np.int64), np.array(w)) for d, w in keys]
     index.build(vectors)
     votes, ys, ws = [], [], []
-    for e, (dims, weights) in enumerate(vectors):
-        who, cos = index.nearest(dims, weights, params.k)
+    for e, (who, cos) in enumerate(index.nearest(vectors, params.k)):
         for label, count in ((1.0, index.pos[e]), (0.0, index.n[e] - index.pos[e])):
             if count:
                 votes.append(index.vote(who, cos, e, label))
@@ -332,7 +351,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, params: Params = Params(
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         for b in batches:
-            found = [index.score(t) for t in b["text"]]
+            found = index.scores(b["text"])
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": [s for s, _, _ in found], "evidence": [e for _, e, _ in found], "cosines": [c for _, _, c in found]})
 
     held_out = F.coalesce(crc_mod("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
