@@ -3,10 +3,13 @@
 Each context word has a restaurant; all of them share one parent restaurant, whose
 base is uniform over the V training words and one type for all others. Seating
 follows the Chinese restaurant process with discounts and is sampled by Gibbs:
-in a sweep the customers of each dish of a restaurant stand up and are seated
-again one after another, given where all others sit. Predictive probabilities are
-averaged over the sweeps after the first ones, and a text's score is the sum of
-their base-10 logarithms over its words and its end.
+in a sweep the customers of each dish stand up and are seated again, given where
+all others sit. The number of their tables is drawn from its exact conditional
+distribution for up to ``EXACT`` customers; more are seated in batches. The dishes
+of a shard take turns in ``BLOCKS`` blocks, those of one block at the same time.
+Each sweep after the first ones gives predictive probabilities, from the tables of
+that sweep in context and parent; their average is a token's probability, and a
+text's score is the sum of its base-10 logarithms over its words and its end.
 
 Spark deals the work twice by key, numpy does the arithmetic of a share:
 
@@ -37,6 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,12 +108,21 @@ def token_hashes(batch: list[str], table: tuple[np.ndarray, np.ndarray]) -> tupl
     return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), counts
 
 
+def squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1) if data else b""
+
+
+def whole(data: bytes) -> bytes:
+    return zstandard.decompress(data) if data else b""
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
-    """The low bytes of integers, byte plane by byte plane, which shuffles compress well."""
-    return values.astype(U8).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    """The low bytes of integers, byte plane by byte plane, compressed."""
+    return squeezed(values.astype(U8).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
 
 
 def unpack(data: bytes, width: int) -> np.ndarray:
+    data = whole(data)
     n = len(data) // width
     out = np.zeros((n, 8), np.uint8)
     out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, n).T
@@ -117,11 +130,11 @@ def unpack(data: bytes, width: int) -> np.ndarray:
 
 
 def float_planes(values: np.ndarray) -> bytes:
-    return values.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return squeezed(values.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def from_float_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<f4").ravel().astype(np.float64)
+    return np.ascontiguousarray(np.frombuffer(whole(data), np.uint8).reshape(4, -1).T).view("<f4").ravel().astype(np.float64)
 
 
 @dataclass
@@ -175,25 +188,53 @@ def grouped(text: list[str], train: np.ndarray, shards: int, hot: np.ndarray, ta
     )
 
 
-def seat(count: np.ndarray, tables: np.ndarray, others, parent, discount: float, strength: float, rng: np.random.Generator) -> np.ndarray:
-    """Seats the customers of each dish again: new numbers of tables, given those of the others.
+EXACT = 1024  # customers of a dish up to which the number of its tables has its exact distribution
+BLOCKS = 8
+
+
+def log_arrangements(most: int, discount: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers S(c, t): ways to seat c customers at t tables, each weighted by its discounted seats."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = 0
+    for c in range(1, most + 1):
+        t = np.arange(1, c)
+        out[c, 1:c] = out[c - 1, 1:c] + np.log(c - 1 - discount * t)  # the last customer joins a table
+        out[c, 1 : c + 1] = np.logaddexp(out[c, 1 : c + 1], out[c - 1, :c])  # or opens one
+    return out
 
-    ``others(t)``: tables of the restaurant if the dish has t; ``parent``: the dish's
-    probability in the parent. The first 32 customers come one at a time, later
-    ones in batches of an eighth of those seated.
+
+def seat(count: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, strength: float, arrangements: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Seats the customers of each dish again: new numbers of tables.
+
+    ``others``: tables of other dishes in the restaurant; ``parent``: the dish's probability there.
+    t tables of c customers have the weight S(c, t) times the product over i < t of
+    (strength + discount * (others + i)) * parent; one t is drawn by the largest of
+    logarithm plus Gumbel noise. Of dishes with more than EXACT customers the first 32 come
+    one at a time, later ones in batches of an eighth of those seated.
     """
-    t = np.minimum(count, 1).astype(np.float64)
-    live = np.flatnonzero(count > 1)
+    tables = np.minimum(count, 1).astype(np.float64)
+    few = np.flatnonzero((count > 1) & (count <= EXACT))
+    few = few[np.argsort(-count[few], kind="stable")]
+    c, rest, p = count[few], strength + discount * others[few], np.log(parent[few])
+    weight, best, drawn = np.zeros(len(few)), np.full(len(few), -np.inf), np.ones(len(few))
+    for t in range(1, int(c[0]) + 1 if len(few) else 0):
+        n = np.searchsorted(-c, -t, side="right")  # those with t customers or more
+        weight[:n] += np.log(rest[:n] + discount * (t - 1)) + p[:n]
+        value = arrangements[c[:n], t] + weight[:n] - np.log(rng.standard_exponential(n))
+        better = np.flatnonzero(value > best[:n])
+        best[better], drawn[better] = value[better], t
+    tables[few] = drawn
+    live = np.flatnonzero(count > EXACT)
     i = np.ones(len(live))
     while len(live):
         step = np.minimum(np.where(i < 32, 1, np.floor(i / 8)), count[live] - i)
-        new = (strength + discount * others(live, t[live])) * parent[live]
-        p = new / (new + np.maximum(i - discount * t[live], 1e-9))
-        t[live] += np.where(step == 1, rng.random(len(live)) < p, rng.binomial(step.astype(np.int64), np.clip(p, 0, 1)))
+        new = (strength + discount * (others[live] + tables[live])) * parent[live]
+        chance = np.clip(new / (new + np.maximum(i - discount * tables[live], 1e-9)), 0, 1)
+        tables[live] += rng.binomial(step.astype(np.int64), chance)
         i = i + step
         more = i < count[live]
         live, i = live[more], i[more]
-    return t
+    return tables
 
 
 def discount_of(count: np.ndarray) -> float:
@@ -203,14 +244,17 @@ def discount_of(count: np.ndarray) -> float:
 
 REQUEST = "shard int, gid int, u binary, nu binary, w binary, c binary, words binary, wc binary"
 TABLES = "shard int, words binary, customers binary, contexts binary, context_tables binary"
-REPLY = "gid int, shard int, kind int, a binary, b binary, c binary, s1 double, s2 double, s3 double, s4 double"
+REPLY = "gid int, shard int, kind int, a binary, b binary, c binary, totals array<double>"
 
 
 def seated(rows: pd.DataFrame, shards: int, hot: np.ndarray, params: Params):
     """Merges the requests of a context shard and samples its seating.
 
-    Returns the distinct contexts and dishes, of each cell its places among them, count and mean
-    number of tables, the discount, and of each request the places of its cells.
+    Returns the distinct contexts and dishes, the tables of each in every sampled sweep, of each cell
+    its count and the sum of its tables over those sweeps, the discount, and of each request the places of its cells.
+
+    A dish's probability in the parent is, as far as this shard sees, the share of the tables that
+    serve it elsewhere, and that of a dish with one table where there are none.
     """
     rows = rows.sort_values("gid", kind="stable")
     context, dish, count, sizes = [], [], [], []
@@ -227,20 +271,30 @@ def seated(rows: pd.DataFrame, shards: int, hot: np.ndarray, params: Params):
     dishes, iw = np.unique(dish[first], return_inverse=True)
     discount = discount_of(count)
     rng = np.random.default_rng([params.seed, int(rows["shard"].iloc[0]) if len(rows) else 0])
-    scale = np.where(np.isin(contexts, hot & MASK40), float(shards), 1.0)[iu]  # a frequent context sits in all shards
     t = np.minimum(count, 1).astype(np.float64)
-    mean = np.zeros(len(t))
+    of_context, of_dish, total = np.bincount(iu, t, len(contexts)), np.bincount(iw, t, len(dishes)), t.sum()
+    scale = np.where(np.isin(contexts, hot & MASK40), float(shards), 1.0)  # a frequent context sits in all shards
+    lone = discount_of(of_dish)
+    live = np.flatnonzero(count > 1)  # all other customers sit alone
+    blocks = np.array_split(rng.permutation(live), BLOCKS)
+    arrangements = log_arrangements(int(min(EXACT, count.max(initial=1))), discount)
+    by_context, by_dish, summed = [], [], np.zeros(len(t))
     for sweep in range(params.burn + params.samples):
-        of_context, of_dish = np.bincount(iu, t, len(contexts)), np.bincount(iw, t, len(dishes))
-        rest = scale * (of_context[iu] - t)
-        parent = (t + shards * (of_dish[iw] - t)) / max(1.0, shards * t.sum())
-        t = seat(count, t, lambda k, own, rest=rest: rest[k] + own, parent, discount, params.strength, rng)
+        for k in blocks:
+            u, w = iu[k], iw[k]
+            rest = shards * (of_dish[w] - t[k])
+            parent = np.where(rest > 0, rest, lone) / (params.strength + shards * (total - t[k]))
+            new = seat(count[k], scale[u] * (of_context[u] - t[k]), np.minimum(parent, 1.0), discount, params.strength, arrangements, rng)
+            change = new - t[k]
+            of_context, of_dish, total = of_context + np.bincount(u, change, len(contexts)), of_dish + np.bincount(w, change, len(dishes)), total + change.sum()
+            t[k] = new
         if sweep >= params.burn:
-            mean += t / params.samples
-    return rows, contexts, iu, dishes, iw, count, mean, discount, cell, np.cumsum([0, *sizes])
+            by_context.append(of_context)
+            by_dish.append(of_dish)
+            summed += t
+    return rows, contexts, np.stack(by_context), dishes, np.stack(by_dish), count, summed, discount, cell, np.cumsum([0, *sizes])
 
 
-QUARTERS = 16  # tables are sent in sixteenths
 COUNT_BYTES = 6  # of a word's count in all training documents; its high planes are zeros, which shuffles compress away
 
 
@@ -260,21 +314,21 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         return pd.DataFrame(out, columns=[c.split()[0] for c in REQUEST.split(", ")])
 
     def tables(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-        _, contexts, iu, dishes, iw, count, mean, discount, _, _ = seated(asked, shards, hot, params)
-        customers = np.round(np.bincount(iw, mean, len(dishes)) * QUARTERS).astype(np.int64)
-        known = customers > 0
-        of_context = np.bincount(iu, mean, len(contexts)) * discount
+        _, contexts, of_context, dishes, of_dish, _, _, discount, _, _ = seated(asked, shards, hot, params)
+        known, opened = of_dish[0] > 0, of_context[0] > 0
         home, chome = word_shard(dishes, shards), word_shard(contexts, shards)
         out = []
         for s in range(shards):
-            k, c = np.flatnonzero((home == s) & known), np.flatnonzero((chome == s) & (of_context > 0))
-            out.append((s, pack(dishes[k], 5), pack(customers[k], 5), pack(contexts[c], 5), float_planes(of_context[c])))
+            k, c = np.flatnonzero((home == s) & known), np.flatnonzero((chome == s) & opened)
+            out.append((s, pack(dishes[k], 5), pack(of_dish[:, k].ravel(), 5), pack(contexts[c], 5), float_planes(discount * of_context[:, c].ravel())))
         return pd.DataFrame(out, columns=[c.split()[0] for c in TABLES.split(", ")])
 
     def cells(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-        asked, _, _, _, _, count, mean, discount, cell, bounds = seated(asked, shards, hot, params)
-        weight = count - discount * mean
-        out = [(gid, key[0], 0, float_planes(weight[cell[bounds[i] : bounds[i + 1]]]), b"", b"", 0.0, 0.0, 0.0, 0.0) for i, gid in enumerate(asked["gid"])]
+        asked, _, _, _, _, count, summed, discount, cell, bounds = seated(asked, shards, hot, params)
+        out = []
+        for i, gid in enumerate(asked["gid"]):
+            own = cell[bounds[i] : bounds[i + 1]]
+            out.append((gid, key[0], 0, pack(count[own], COUNT_BYTES), pack(summed[own], COUNT_BYTES), b"", [discount]))
         return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
 
     def parent(key: tuple, asked: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
@@ -289,34 +343,39 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         order = np.argsort(short, kind="stable")
 
         def gather(keys: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
-            out = np.zeros(len(names))
-            if keys and len(names):
-                k, v = np.concatenate(keys), np.concatenate(values)
-                at = np.minimum(np.searchsorted(short[order], k), len(names) - 1)
-                ok = short[order][at] == k
-                np.add.at(out, order[at[ok]], v[ok])
+            """Sums by word of each sampled sweep's values."""
+            out = np.zeros((params.samples, len(names)))
+            for k, v in zip(keys, values, strict=True):
+                if len(names) and len(k):
+                    at = np.minimum(np.searchsorted(short[order], k), len(names) - 1)
+                    ok = short[order][at] == k
+                    out[:, order[at[ok]]] += v.reshape(params.samples, -1)[:, ok]  # a sender names a word once
             return out
 
-        customers = gather([unpack(x, 5) for x in sent["words"]], [unpack(x, 5) / QUARTERS for x in sent["customers"]])
+        customers = gather([unpack(x, 5) for x in sent["words"]], [unpack(x, 5).astype(np.float64) for x in sent["customers"]])
         ctables = gather([unpack(x, 5) for x in sent["contexts"]], [from_float_planes(x) for x in sent["context_tables"]])
         known = count > 0
-        whole = np.round(customers).astype(np.int64)
-        discount = discount_of(whole[known])
+        seats = customers.astype(np.int64)
+        discount = discount_of(seats[0][known])
         rng = np.random.default_rng([params.seed, 1 << 20, int(key[0])])
         base = np.full(len(names), 1 / max(1.0, shards * known.sum() + 1))
-        t, mean = np.minimum(whole, 1).astype(float), np.zeros(len(names))
+        blocks = np.array_split(rng.permutation(len(names)), BLOCKS)
+        arrangements = log_arrangements(int(min(EXACT, seats.max(initial=1))), discount)
+        t, opened = np.minimum(seats[0], 1).astype(float), []
         for sweep in range(params.burn + params.samples):
-            rest = shards * (t.sum() - t)
-            t = seat(whole, t, lambda k, own, rest=rest: rest[k] + own, base, discount, params.strength, rng)
+            own = seats[max(0, sweep - params.burn)]
+            for k in blocks:
+                t[k] = seat(own[k], shards * (t.sum() - t[k]), base[k], discount, params.strength, arrangements, rng)
             if sweep >= params.burn:
-                mean += t / params.samples
-        mean *= discount
-        totals = (float(count.sum()), float(known.sum()), float(customers.sum()), float(mean.sum()))
+                opened.append(t.copy())
+        opened = np.stack(opened)
+        totals = [float(count.sum()), float(known.sum()), discount, *customers.sum(axis=1), *(discount * opened.sum(axis=1))]
         out, at = [], 0
         for gid, own in zip(asked["gid"], words, strict=True):
             k = place[at : at + len(own)]
             at += len(own)
-            out.append((gid, key[0], 1, pack(count[k], COUNT_BYTES), float_planes(customers[k] - mean[k]), float_planes(ctables[k]), *totals))
+            both = np.concatenate([customers[:, k].ravel(), opened[:, k].ravel()])
+            out.append((gid, key[0], 1, pack(count[k], COUNT_BYTES), pack(both, 5), float_planes(ctables[:, k].ravel()), totals))
         return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
 
     def finish(key: tuple, docs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
@@ -324,24 +383,30 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         if not len(docs):
             return pd.DataFrame([], columns=columns)
         g = grouped(docs["text"].tolist(), ~docs["held_out"].to_numpy(bool), shards, hot, powers(table_size))
-        weight = np.zeros(len(g.dish))
-        count, number, ctables = (np.zeros(len(g.words)) for _ in range(3))
-        n = v = customers = spare = 0.0
+        samples = params.samples
+        weight, count = np.zeros(len(g.dish)), np.zeros(len(g.words))
+        number, ctables = (np.zeros((samples, len(g.words)), np.float32) for _ in range(2))
+        n = v = 0.0
+        customers, spare = np.zeros(samples), np.zeros(samples)
         for r in replies.itertuples(index=False):
             if r.kind == 0:
-                weight[g.cell_order[r.shard]] = from_float_planes(r.a)
+                weight[g.cell_order[r.shard]] = unpack(r.a, COUNT_BYTES) - r.totals[0] / samples * unpack(r.b, COUNT_BYTES)
             else:
                 at = g.word_order[r.shard]
-                count[at], number[at], ctables[at] = unpack(r.a, COUNT_BYTES), from_float_planes(r.b), from_float_planes(r.c)
-                n, v, customers, spare = n + r.s1, v + r.s2, customers + r.s3, spare + r.s4
-        p0 = (number + (params.strength + spare) / (v + 1)) / (params.strength + customers)
+                seats, opened = unpack(r.b, 5).astype(np.float64).reshape(2, samples, -1)
+                count[at], number[:, at], ctables[:, at] = unpack(r.a, COUNT_BYTES), seats - r.totals[2] * opened, from_float_planes(r.c).reshape(samples, -1)
+                n, v, customers, spare = n + r.totals[0], v + r.totals[1], customers + r.totals[3 : 3 + samples], spare + r.totals[3 + samples :]
         at = g.context_place
         # each training token but an end precedes a token, and each end stands for the beginning of its text,
         # so a context's customers are the training tokens of its word
         denominator = params.strength + count[at]
         dish_place = np.zeros(len(g.dish), np.int64)
         dish_place[g.cell_of] = g.word_of
-        log_p = np.log10((weight + (params.strength + ctables[at]) * p0[dish_place]) / denominator)
+        passed = np.zeros(len(g.dish))  # what the context leaves to its parent, averaged over the sweeps
+        for s in range(samples):
+            p0 = (number[s] + (params.strength + spare[s]) / (v + 1)) / (params.strength + customers[s])
+            passed += (params.strength + ctables[s][at]) * p0[dish_place] / samples
+        log_p = np.log10((weight + passed) / denominator)
         base = np.log10(count + 0.1)
         starts = np.cumsum(g.counts) - g.counts
         sums = lambda x: np.add.reduceat(x, starts)

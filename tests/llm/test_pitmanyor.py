@@ -59,20 +59,59 @@ def test_same_word_same_hash():
     assert n.tolist() == [4, 2, 1, 2] and len({int(h[i]) for i in (0, 2, 4, 7)}) == 1 and (h[[3, 5, 6, 8]] == py.END).all()
 
 
-def test_seating_against_sequential_process():
-    """Means of the tables agree with a customer-by-customer simulation."""
+def partitions(n):
+    """Sizes of the tables of every way to seat n customers."""
+    if n == 0:
+        yield ()
+        return
+    for sizes in partitions(n - 1):
+        yield (*sizes, 1)
+        for i, k in enumerate(sizes):
+            yield (*sizes[:i], k + 1, *sizes[i + 1 :])
+
+
+def test_seating_against_all_arrangements():
+    """Drawn numbers of tables have the distribution that the weights of all arrangements give."""
     rng = np.random.default_rng(1)
-    for count, parent in ((2, 0.3), (10, 0.05), (200, 0.02)):
-        n = 4000
-        got = py.seat(np.full(n, count), np.ones(n), lambda k, own: 5 + own, np.full(n, parent), 0.6, 1.0, rng)
-        want = []
-        for _ in range(1500):
-            t = 1
-            for i in range(1, count):
-                new = (1 + 0.6 * (5 + t)) * parent
-                t += rng.random() < new / (new + i - 0.6 * t)
-            want.append(t)
-        assert abs(got.mean() - np.mean(want)) < 0.06 * np.mean(want) + 0.03
+    for count, others, parent, d in ((2, 5, 0.3, 0.6), (5, 0, 0.2, 0.3), (8, 40, 0.05, 0.8)):
+        want = np.zeros(count + 1)
+        for sizes in partitions(count):
+            t = len(sizes)
+            want[t] += math.prod(math.prod(j - d for j in range(1, k)) for k in sizes) * math.prod((1 + d * (others + i)) * parent for i in range(t))
+        want /= want.sum()
+        n = 40_000
+        got = py.seat(np.full(n, count), np.full(n, float(others)), np.full(n, parent), d, 1.0, py.log_arrangements(count, d), rng)
+        assert np.allclose(np.bincount(got.astype(int), minlength=count + 1) / n, want, atol=0.012)
+
+
+def test_seating_of_many_customers_against_sequential_process():
+    """Beyond EXACT, means of the tables agree with a customer-by-customer simulation."""
+    rng, n, count = np.random.default_rng(1), 2000, py.EXACT + 400
+    got = py.seat(np.full(n, count), np.full(n, 5.0), np.full(n, 0.02), 0.6, 1.0, py.log_arrangements(1, 0.6), rng)
+    want = []
+    for _ in range(400):
+        t = 1
+        for i in range(1, count):
+            new = (1 + 0.6 * (5 + t)) * 0.02
+            t += rng.random() < new / (new + i - 0.6 * t)
+        want.append(t)
+    assert abs(got.mean() - np.mean(want)) < 0.06 * np.mean(want) + 0.03
+
+
+def test_probabilities_of_all_texts_sum_to_one(spark):
+    """Over five known words and an unknown one, the probabilities of texts of any length add up to 1, in one shard and in many."""
+    words = ["ash", "bay", "cod", "dew", "elm", "zzz"]
+    held = [i for i in range(700) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = [(i, " ".join(words[(i * k) % 5 if k % 3 else 0] for k in range(1, 2 + i % 6))) for i in range(700) if i not in held]
+    asked = ["", *words, *(f"{a} {b}" for a in words for b in words)]
+    assert len(held) >= len(asked)
+    df = spark.createDataFrame([*rows, *zip(held, asked)], "doc_id long, text string").repartition(4)
+    for size in (1 << 20, 800):
+        p = {r.doc_id: 10**r.score for r in py.language_model_scores(df, py.Params(group_bytes=size)).collect()}
+        p = dict(zip(asked, (p[i] for i in held)))
+        ends = np.array([p[w] for w in words])
+        steps = np.array([[p[f"{a} {b}"] / p[b] for b in words] for a in words])  # up to factors that cancel over a whole text
+        assert abs(p[""] + np.linalg.solve(np.eye(6) - steps, ends).sum() - 1) < 1e-4
 
 
 def test_planes():
