@@ -189,6 +189,7 @@ def grouped(text: list[str], train: np.ndarray, shards: int, hot: np.ndarray, ta
 
 
 EXACT = 1024  # customers of a dish up to which the number of its tables has its exact distribution
+NEGLIGIBLE = 40.0  # natural logarithm of a ratio of weights below which a number of tables is not drawn
 BLOCKS = 8
 
 
@@ -214,16 +215,21 @@ def seat(count: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: fl
     """
     tables = np.minimum(count, 1).astype(np.float64)
     few = np.flatnonzero((count > 1) & (count <= EXACT))
-    few = few[np.argsort(-count[few], kind="stable")]
     c, rest, p = count[few], strength + discount * others[few], np.log(parent[few])
-    weight, best, drawn = np.zeros(len(few)), np.full(len(few), -np.inf), np.ones(len(few))
-    for t in range(1, int(c[0]) + 1 if len(few) else 0):
-        n = np.searchsorted(-c, -t, side="right")  # those with t customers or more
-        weight[:n] += np.log(rest[:n] + discount * (t - 1)) + p[:n]
-        value = arrangements[c[:n], t] + weight[:n] - np.log(rng.standard_exponential(n))
-        better = np.flatnonzero(value > best[:n])
-        best[better], drawn[better] = value[better], t
-    tables[few] = drawn
+    weight, top, best, drawn = np.zeros(len(few)), np.full(len(few), -np.inf), np.full(len(few), -np.inf), np.ones(len(few))
+    t = 0
+    while len(few):
+        t += 1
+        weight += np.log(rest + discount * (t - 1)) + p
+        value = arrangements[c, t] + weight
+        noisy = value - np.log(rng.standard_exponential(len(few)))
+        better = noisy > best
+        best, drawn, top = np.where(better, noisy, best), np.where(better, t, drawn), np.maximum(top, value)
+        if t < 8 or t % 8 == 0 or t == arrangements.shape[1] - 1:
+            # weights are log-concave in t, so from here on all are below a 10**17th of the largest
+            more = (c > t) & (value > top - NEGLIGIBLE)
+            tables[few[~more]] = drawn[~more]
+            few, c, rest, p, weight, top, best, drawn = (x[more] for x in (few, c, rest, p, weight, top, best, drawn))
     live = np.flatnonzero(count > EXACT)
     i = np.ones(len(live))
     while len(live):

@@ -73,7 +73,7 @@ def partitions(n):
 def test_seating_against_all_arrangements():
     """Drawn numbers of tables have the distribution that the weights of all arrangements give."""
     rng = np.random.default_rng(1)
-    for count, others, parent, d in ((2, 5, 0.3, 0.6), (5, 0, 0.2, 0.3), (8, 40, 0.05, 0.8)):
+    for count, others, parent, d in ((2, 5, 0.3, 0.6), (5, 0, 0.2, 0.3), (8, 40, 0.05, 0.8), (10, 3, 0.9, 0.9)):
         want = np.zeros(count + 1)
         for sizes in partitions(count):
             t = len(sizes)
