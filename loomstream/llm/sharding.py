@@ -8,8 +8,11 @@ all files of a tier that has at least ``fanout`` of them, and is below the targe
 size, are merged into files of about the target size, without a shuffle, and one
 manifest swaps them. A manifest is written under another name and renamed without
 overwriting, so a reader sees all of a version or none, and of two writers one
-fails with ``CommitConflict`` and starts over from the newer version. Files that
-no kept manifest names are deleted only after the commit.
+fails with ``CommitConflict`` and starts over from the newer version, and deletes
+what it has merged in vain. Manifests stay for ``keep_seconds`` after their successor
+was committed, so that open readers finish; later ``vacuum`` deletes them, and the
+data files of that age that no manifest names: merged ones, and those of writers
+that were lost. A single write must take less time than that.
 
 Defined results: an empty arrival commits a version without new files; an empty
 store reads as no rows of its schema; nulls, repeated rows and any further
@@ -39,7 +42,7 @@ class Params:
     target: int = 128 << 20  # bytes of a merged file
     smallest: int = 1 << 20  # bytes up to which a file is in tier 0
     fanout: int = 4
-    keep_versions: int = 1
+    keep_seconds: int = 3600
 
 
 @dataclass(frozen=True)
@@ -109,7 +112,11 @@ class ShardStore:
     def write(self, df: DataFrame) -> list[Shard]:
         """Writes the rows as new files of a folder of their own; they count only once a manifest names them."""
         folder = f"data/{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
+        try:
+            df.write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
+        except Exception:
+            self.fs.delete(self.hadoop.Path(f"{self.root}/{folder}"), True)
+            raise
         files = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}").groupBy(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes")).count()
         return sorted((Shard(f"{folder}/{r['file']}", r["count"], r["bytes"]) for r in files.collect()), key=lambda s: s.file)
 
@@ -141,6 +148,8 @@ class ShardStore:
             try:
                 self.commit(version + 1, [s for s in shards if s.file not in gone] + merged, schema)
             except CommitConflict:
+                for folder in {s.file.rsplit("/", 1)[0] for s in merged}:
+                    self.fs.delete(self.hadoop.Path(f"{self.root}/{folder}"), True)
                 continue
             self.vacuum()
             if len(merged) >= len(gone):
@@ -148,15 +157,28 @@ class ShardStore:
         raise CommitConflict("other writers were faster each time")
 
     def vacuum(self) -> None:
-        """Deletes manifests older than those kept, and the files that only they name."""
+        """Deletes manifests replaced longer than ``keep_seconds`` ago, and data files of that age that no other manifest names.
+
+        The newest manifest's time stands for now, so only the file system's clock counts.
+        """
         known = self.versions()
-        kept, old = known[-self.params.keep_versions :], known[: -self.params.keep_versions]
-        live = {s.file for v in kept for s in self.manifest(v)[1]}
-        for v in old:
-            for s in self.manifest(v)[1]:
-                if s.file not in live:
-                    self.fs.delete(self.hadoop.Path(f"{self.root}/{s.file}"), False)
+        if not known:
+            return
+        written = [self.fs.getFileStatus(self.hadoop.Path(f"{self.root}/manifest/v{v:08d}.json")).getModificationTime() for v in known]
+        before = written[-1] - 1000 * self.params.keep_seconds
+        old = {v for v, replaced in zip(known, written[1:]) if replaced <= before}
+        live = {s.file for v in known if v not in old for s in self.manifest(v)[1]}
+        for v in sorted(old):
             self.fs.delete(self.hadoop.Path(f"{self.root}/manifest/v{v:08d}.json"), False)
+        data = self.hadoop.Path(f"{self.root}/data")
+        for folder in self.fs.listStatus(data) if self.fs.exists(data) else []:
+            name, files = folder.getPath().getName(), list(self.fs.listStatus(folder.getPath()))
+            dead = [f for f in files if f"data/{name}/{f.getPath().getName()}" not in live and f.getModificationTime() <= before]
+            if len(dead) < len(files):
+                for f in dead:
+                    self.fs.delete(f.getPath(), True)
+            elif folder.getModificationTime() <= before:
+                self.fs.delete(folder.getPath(), True)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, with ``_shard`` (the file's number in the manifest), ``_tier`` and ``_version``."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loomstream.llm import sharding as sh
 from loomstream.llm.common import scratch_dir
 
-SMALL = sh.Params(target=40_000, smallest=1_000, fanout=3)
+SMALL = sh.Params(target=40_000, smallest=1_000, fanout=3, keep_seconds=0)
 
 
 def rows(n, seed):
@@ -70,3 +70,42 @@ def test_clashing_names(spark):
     store = sh.ShardStore(spark, scratch_dir(spark), SMALL)
     store.append(spark.createDataFrame([(1, "a", 9, 9)], "doc_id long, text string, tier int, shard int"))
     assert [tuple(r)[:4] for r in store.read().collect()] == [(1, "a", 9, 9)]
+
+
+def data_files(store):
+    return {s.getPath().getName() for f in store.fs.listStatus(store.hadoop.Path(f"{store.root}/data")) for s in store.fs.listStatus(f.getPath()) if s.getPath().getName().endswith(".parquet")}
+
+
+def test_open_reader_outlives_compaction(spark):
+    store = sh.ShardStore(spark, scratch_dir(spark), sh.Params(target=40_000, smallest=1_000, fanout=3))
+    store.append(spark.createDataFrame(rows(300, 1), "doc_id long, text string, tier string").repartition(6))
+    version, shards, _ = store.manifest()
+    reader = store.read()
+    assert store.compact() > version and store.manifest()[1] != shards
+    assert reader.count() == 300 and store.read(version).count() == 300
+
+
+def test_vacuum_removes_what_no_manifest_names(spark):
+    store = sh.ShardStore(spark, scratch_dir(spark), SMALL)
+    df = spark.createDataFrame(rows(300, 1), "doc_id long, text string, tier string").repartition(6)
+    store.write(df)  # a writer that is lost before its commit
+    store.append(df)
+    store.compact()
+    store.vacuum()
+    assert data_files(store) == {s.file.rsplit("/", 1)[1] for s in store.manifest()[1]} and store.read().count() == 300
+
+
+def test_beaten_compaction_leaves_nothing(spark, monkeypatch):
+    store = sh.ShardStore(spark, scratch_dir(spark), sh.Params(target=40_000, smallest=1_000, fanout=3))
+    store.append(spark.createDataFrame(rows(300, 1), "doc_id long, text string, tier string").repartition(6))
+    before, commit, calls = data_files(store), store.commit, []
+
+    def beaten(version, shards, schema):
+        calls.append(version)
+        if len(calls) == 1:
+            commit(version, store.manifest()[1], schema)  # another writer's version of the same number
+        return commit(version, shards, schema)
+
+    monkeypatch.setattr(store, "commit", beaten)
+    store.compact()
+    assert len(calls) == 2 and data_files(store) == before | {s.file.rsplit("/", 1)[1] for s in store.manifest()[1]} and store.read().count() == 300
