@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, neardup, pitmanyor, quality, secrets, sharding, sitetree, toxicity
+from . import bpe, decontaminate, fingerprint, neardup, periodic, pitmanyor, quality, secrets, sharding, sitetree, toxicity
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neardup": op8_neardup,
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
