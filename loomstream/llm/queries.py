@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, neardup, periodic, phrases, pitmanyor, quality, secrets, sharding, sitetree, toxicity
+from . import bpe, decontaminate, fingerprint, linecrf, neardup, periodic, phrases, pitmanyor, quality, secrets, sharding, sitetree, toxicity
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linecrf.line_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": op9_secrets,
         "op10_bpe": op10_bpe,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_line_crf": op12_line_crf,
         "op13_phrases": op13_phrases,
     }
 
