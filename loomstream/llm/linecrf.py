@@ -49,9 +49,9 @@ NOTICE = re.compile(
 class Params:
     max_rows: int = 3000  # labelled documents to learn from, those with the smallest hash of doc_id
     share: float = 0.5  # of the words, in content lines
-    steps: int = 150
+    steps: int = 200
     rate: float = 0.3
-    l2: float = 1e-3
+    l2: float = 1e-4
 
 
 # --- counts ----------------------------------------------------------------------------------------------------------
