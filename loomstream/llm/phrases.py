@@ -1,8 +1,8 @@
 """Phrase collocations: exact counts of phrases in HAT-tries, spilled as sorted runs and merged per prefix partition.
 
-Phrases are counted level by level: words, then phrases of two words, and so on. A task holds one HAT-trie: under a
-phrase's first word stands a hash container of the rest; a container that has grown too large bursts into one container
-for each next word. When the trie is full, whole subtrees leave it, the largest first, each as one run in the order of
+Phrases are counted level by level: words, then phrases of two words, and so on. A task holds a HAT-trie for each
+language: one hash container of whole phrases, which bursts when it has grown: each first word with many phrases gets a
+container of their rests. When a trie is full, whole subtrees leave it, the largest first, each as one run in the order of
 its phrases. Spark deals the runs by prefix (language and first two words, so that one frequent first word is not one
 task) and adds equal phrases up.
 
@@ -24,6 +24,7 @@ cut twice, first in ``PARTS`` parts by the phrase's hash, so no task gets more t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -52,27 +53,35 @@ class Params:
     least: int = 10
     top: int = 2000
     held_pct: int = 50
-    trie_entries: int = 1_500_000  # phrases that a task's trie holds before it spills
-    burst: int = 4096  # entries of a container that bursts
+    trie_entries: int = 2_000_000  # phrases that a task's tries hold before one spills
+    burst: int = 200_000  # entries of a trie's first container that bursts
     task_words: int = 400_000  # distinct words that a task numbers before all leaves the trie
     filter_bits: int = 1 << 26  # of the bitmap of frequent parts
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words, lower-cased, with ``BREAK`` between pieces."""
-    return text.translate(TABLE).replace(BREAK, b" \xff ").split()
+def split(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of the texts, lower-cased, as numbers of distinct words; and the piece that each stands in."""
+    data = np.frombuffer(BREAK.join(texts).translate(TABLE), np.uint8)
+    breaks = data == BREAK[0]
+    gap = breaks | (data == 32)
+    inside = np.concatenate([[False], ~gap, [False]]).astype(np.int8)
+    step = np.diff(inside)
+    start, stop = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int32)
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[~gap])])
+    return words.dictionary_encode(), np.cumsum(breaks)[start]
 
 
-class Words(dict):
-    """Numbers of words in the order in which they are first seen; the break is 0."""
+def values(words: pa.BinaryArray) -> list[bytes]:
+    """The words as bytes."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].tolist() if len(words) else [0]
+    raw = data.to_pybytes() if data else b""
+    return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def __init__(self):
-        super().__init__()
-        self.clear()
 
-    def clear(self) -> None:
-        super().clear()
-        self[BREAK] = 0
+class Words(dict):
+    """Numbers of words in the order in which they are first seen."""
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
@@ -84,84 +93,101 @@ LOW = np.int64((1 << 31) - 1)
 
 
 class HatTrie:
-    """Counts of phrases of one size of 1 to 3 words, given by numbers.
+    """Counts of phrases of one size of 1 to 3 words, given by numbers: the first word, and the others packed into one.
 
-    ``nodes`` has for each first word a container (rest of the phrase: count), or, once it has burst, containers under
-    the second word. The rest of a phrase is its further numbers packed into one.
+    The trie begins as one hash container of whole phrases. When that has ``burst`` entries, and twice those that the last
+    time left, each first word with a ``SHARE``-th of ``burst`` or more gets a container of its own, of the rests of its phrases.
     """
 
+    SHARE = 64
+
     def __init__(self, size: int, burst: int):
-        self.size, self.limit = size, burst
-        self.nodes: dict[int, dict] = {}
-        self.burst: set[int] = set()
-        self.entries = 0
-
-    def add(self, first: np.ndarray, rest: np.ndarray, count: np.ndarray) -> None:
-        """Adds counts of distinct phrases, ordered by first word."""
-        cut = np.flatnonzero(np.diff(first)) + 1
-        starts, ends = [0, *cut.tolist()], [*cut.tolist(), len(first)]
-        heads, tails, counts = first.tolist(), rest.tolist(), count.tolist()
-        for a, b in zip(starts, ends, strict=True):
-            head = heads[a]
-            node = self.nodes.get(head)
-            if node is None:
-                node = self.nodes[head] = {}
-            if head in self.burst:
-                for t, n in zip(tails[a:b], counts[a:b], strict=True):
-                    box = node.get(t >> 31)
-                    if box is None:
-                        box = node[t >> 31] = {}
-                    size = len(box)
-                    box[t] = box.get(t, 0) + n
-                    self.entries += len(box) - size
-                continue
-            size = len(node)
-            for t, n in zip(tails[a:b], counts[a:b], strict=True):
-                node[t] = node.get(t, 0) + n
-            self.entries += len(node) - size
-            if self.size > 2 and len(node) > self.limit:
-                boxes: dict[int, dict[int, int]] = {}
-                for t, n in node.items():
-                    boxes.setdefault(t >> 31, {})[t] = n
-                self.nodes[head] = boxes
-                self.burst.add(head)
-
-    def weight(self, head: int) -> int:
-        node = self.nodes[head]
-        return sum(map(len, node.values())) if head in self.burst else len(node)
-
-    def take(self, heads: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Takes whole subtrees out: first words, rests and counts."""
-        sizes, rest, count = [], [], []
-        for head in heads:
-            node = self.nodes.pop(head)
-            boxes = list(node.values()) if head in self.burst else [node]
-            self.burst.discard(head)
-            for box in boxes:
-                rest.append(np.fromiter(box.keys(), np.int64, len(box)))
-                count.append(np.fromiter(box.values(), np.int64, len(box)))
-            sizes.append(sum(map(len, boxes)))
-        self.entries -= sum(sizes)
-        none = np.zeros(0, np.int64)
-        return np.repeat(np.array(heads, np.int64), sizes), np.concatenate([none, *rest]), np.concatenate([none, *count])
+        self.counts = np.zeros(0, np.int64) if size == 1 else None  # of single words, by number
+        self.pairs, self.limit, self.next = size > 2, burst, burst  # of three words, a key is a pair; of fewer, one number
+        self.root: Counter[tuple[int, int] | int] = Counter()
+        self.nodes: dict[int, Counter[int]] = {}
+        self.burst = np.zeros(1, bool)  # by first word
+
+    def add(self, first: np.ndarray, rest: np.ndarray) -> None:
+        """Adds one occurrence of each."""
+        if self.counts is not None:
+            own = np.bincount(first, minlength=len(self.counts))
+            own[: len(self.counts)] += self.counts
+            self.counts = own
+            return
+        if len(first) and first.max() >= len(self.burst):
+            self.burst = np.append(self.burst, np.zeros(int(first.max()) + 1, bool))
+        own = self.burst[first]
+        a, t = first[~own], rest[~own]
+        self.root.update(zip(a.tolist(), t.tolist(), strict=True) if self.pairs else ((a << SHIFT) | t).tolist())
+        a, t = first[own], rest[own]
+        order = np.argsort(a, kind="stable")
+        a, t = a[order], t[order]
+        cut = np.flatnonzero(np.diff(a)) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(a)], strict=True):
+            if i < j:
+                self.nodes[int(a[i])].update(t[i:j].tolist())
+        if len(self.root) > self.next:
+            self.split_root()
+
+    def root_arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = list(self.root)
+        count = np.fromiter(self.root.values(), np.int64, len(keys))
+        if self.pairs:
+            pair = np.array(keys, np.int64).reshape(-1, 2)
+            return pair[:, 0], pair[:, 1], count
+        key = np.array(keys, np.int64)
+        return key >> SHIFT, key & LOW, count
 
-    def largest(self, share: float = 0.5) -> list[int]:
-        """First words of the largest subtrees that hold at least the share of all entries."""
-        want, out = share * self.entries, []
-        for n, head in sorted(((self.weight(h), h) for h in self.nodes), reverse=True):
+    def split_root(self) -> None:
+        """First words with many phrases get containers of their own."""
+        first, rest, count = self.root_arrays()
+        heads, n = np.unique(first, return_counts=True)
+        heads = heads[n >= max(2, self.limit // self.SHARE)]
+        own = np.isin(first, heads)
+        a, t, c = first[own], rest[own], count[own]
+        order = np.argsort(a, kind="stable")
+        a, t, c = a[order], t[order], c[order]
+        cut = np.flatnonzero(np.diff(a)) + 1
+        for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(a)], strict=True):
+            if i < j:
+                self.nodes[int(a[i])] = Counter(dict(zip(t[i:j].tolist(), c[i:j].tolist(), strict=True)))
+        self.burst[heads] = True
+        for key in zip(a.tolist(), t.tolist(), strict=True) if self.pairs else ((a << SHIFT) | t).tolist():
+            del self.root[key]
+        self.next = max(self.limit, 2 * len(self.root))
+
+    def entries(self) -> int:
+        if self.counts is not None:
+            return int(np.count_nonzero(self.counts))
+        return len(self.root) + sum(map(len, self.nodes.values()))
+
+    def take(self, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Takes whole subtrees out, the largest first, until so much of all entries is gone: first words, rests and counts."""
+        if self.counts is not None:
+            head = np.flatnonzero(self.counts)
+            count, self.counts = self.counts[head], np.zeros(0, np.int64)
+            return head, np.zeros(len(head), np.int64), count
+        want, out = share * self.entries(), []
+        for n, head in sorted([(len(self.root), -1), *((len(c), h) for h, c in self.nodes.items())], reverse=True):
             if want <= 0:
                 break
-            out.append(head)
             want -= n
-        return out
+            if head < 0:
+                out.append(self.root_arrays())
+                self.root, self.next = Counter(), self.limit
+            else:
+                box = self.nodes.pop(head)
+                self.burst[head] = False
+                out.append((np.full(n, head, np.int64), np.fromiter(box.keys(), np.int64, n), np.fromiter(box.values(), np.int64, n)))
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate([none, *c]) for c in zip(*out, strict=True)) if out else (none, none, none)
 
 
-def ngrams(ids: np.ndarray, size: int, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First numbers and packed rests of all windows without a break and without a ``bad`` part that begins in them."""
+def ngrams(ids: np.ndarray, piece: np.ndarray, size: int, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First numbers and packed rests of all windows within a piece, in which no ``bad`` part of one word less begins."""
     n = max(0, len(ids) - size + 1)
-    ok = np.ones(n, bool)
-    for j in range(size):
-        ok &= ids[j : j + n] != 0
+    ok = piece[:n] == piece[size - 1 :]
     for j in range(2 if size > 1 else 0):
         ok &= ~bad[j : j + n]
     at = np.flatnonzero(ok)
@@ -171,73 +197,56 @@ def ngrams(ids: np.ndarray, size: int, bad: np.ndarray) -> tuple[np.ndarray, np.
     return ids[at], rest
 
 
-def distinct(first: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs in order, and how often each occurs."""
-    if len(rest) and rest.max() <= LOW:  # words and pairs of words, in one number
-        key, count = np.unique((first << SHIFT) | rest, return_counts=True)
-        return key >> SHIFT, key & LOW, count
-    order = np.lexsort((rest, first))
-    first, rest = first[order], rest[order]
-    new = np.ones(len(first), bool)
-    new[1:] = (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])
-    at = np.flatnonzero(new)
-    return first[at], rest[at], np.diff(np.append(at, len(first)))
-
-
 RUNS = "lang string, phrase string, n long"
 
 
-class Counter:
+class Task:
     """One task's trie for one language."""
 
     def __init__(self, lang: str, size: int, params: Params, bitmap: np.ndarray | None):
         self.lang, self.size, self.params, self.bitmap = lang, size, params, bitmap
         self.words, self.trie = Words(), HatTrie(size, params.burst)
-        self.parts: dict = {}
 
     def hashes(self, parts: list[bytes]) -> np.ndarray:
         """Places in the bitmap: Spark's xxhash64 of language and part."""
         seed = xxhash.xxh64_intdigest(self.lang.encode(), 42)
         return np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in parts), np.uint64, len(parts)) & np.uint64(self.params.filter_bits - 1)
 
-    def bad_parts(self, ids: np.ndarray, names: list[bytes]) -> np.ndarray:
+    def bad_parts(self, local: np.ndarray, names: list[bytes], piece: np.ndarray) -> np.ndarray:
         """For each place, whether the part of one word less that begins there is surely not frequent."""
-        if self.bitmap is None or not len(ids):
-            return np.zeros(len(ids), bool)
+        if self.bitmap is None or not len(local):
+            return np.zeros(len(local), bool)
         if self.size == 2:
-            own, back = np.unique(ids, return_inverse=True)
-            parts = [names[i] for i in own.tolist()]
+            parts, back = names, local
         else:
-            pair = (ids[:-1] << SHIFT) | ids[1:]
-            own, back = np.unique(pair, return_inverse=True)
+            both = np.flatnonzero(piece[:-1] == piece[1:])
+            own, inverse = np.unique((local[both] << SHIFT) | local[both + 1], return_inverse=True)
             parts = [names[i >> 31] + b" " + names[i & 2147483647] for i in own.tolist()]
+            back = np.full(len(local), len(parts), np.int64)
+            back[both] = inverse
         at = self.hashes(parts)
         there = (self.bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-        bad = (there == 0)[back]
-        return bad if self.size == 2 else np.append(bad, True)
+        return np.append(there == 0, True)[back]
 
     def add(self, texts: list[bytes]) -> None:
-        flat = []
-        for t in texts:
-            flat += tokens(t)
-            flat.append(BREAK)
-        ids = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
-        first, rest = ngrams(ids, self.size, self.bad_parts(ids, list(self.words)))
-        if len(first):
-            self.trie.add(*distinct(first, rest))
+        encoded, piece = split(texts)
+        local, names = encoded.indices.to_numpy().astype(np.int64), values(encoded.dictionary)
+        bad = self.bad_parts(local, names, piece)
+        numbers = np.fromiter(map(self.words.__getitem__, names), np.int64, len(names))
+        self.trie.add(*ngrams(numbers[local], piece, self.size, bad))
 
     def full(self) -> bool:
-        return self.trie.entries > self.params.trie_entries or len(self.words) > self.params.task_words
+        return self.trie.entries() > self.params.trie_entries or len(self.words) > self.params.task_words
 
     def spill(self, all_: bool = False) -> Iterator[pa.RecordBatch]:
         """Sorted runs of the largest subtrees, or of all."""
         all_ = all_ or len(self.words) > self.params.task_words
-        first, rest, count = self.trie.take(list(self.trie.nodes) if all_ else self.trie.largest())
+        first, rest, count = self.trie.take(1 if all_ else 0.5)
         names = pa.array(list(self.words), pa.binary())
         rank = np.empty(len(names), np.int64)
         rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
         columns = [first] if self.size == 1 else [first, rest] if self.size == 2 else [first, rest >> SHIFT, rest & LOW]
-        order = np.lexsort([rank[c] for c in reversed(columns)])
+        order = np.argsort((rank[first] << SHIFT) | (rank[rest] if self.size == 2 else 0)) if self.size < 3 else np.lexsort([rank[c] for c in reversed(columns)])
         for a in range(0, len(order), 50_000):
             at = order[a : a + 50_000]
             parts = [names.take(pa.array(c[at])) for c in columns]
@@ -245,25 +254,26 @@ class Counter:
             yield pa.RecordBatch.from_arrays([pa.array([self.lang] * len(at), pa.string()), phrase.cast(pa.string()), pa.array(count[at], pa.int64())], ["lang", "phrase", "n"])
         if all_:
             self.words.clear()
+            self.trie = HatTrie(self.size, self.params.burst)
 
 
 def runs(docs: DataFrame, size: int, params: Params, bitmap: Broadcast | None) -> DataFrame:
     """``lang``, ``phrase``, ``n``: the sorted runs of all tasks for phrases of one size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[str, Counter] = {}
+        own: dict[str, Task] = {}
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint64)
         for b in batches:
             langs, texts = np.array(b.column("lang").to_pylist(), object), b.column("text").to_pylist()
             for lang in sorted(set(langs)):
                 c = own.get(lang)
                 if c is None:
-                    c = own[lang] = Counter(lang, size, params, bits)
+                    c = own[lang] = Task(lang, size, params, bits)
                 c.add([texts[i] for i in np.flatnonzero(langs == lang)])
                 if c.full():
                     yield from c.spill()
-            while sum(c.trie.entries for c in own.values()) > params.trie_entries or sum(len(c.words) for c in own.values()) > 2 * params.task_words:
-                c = max(own.values(), key=lambda c: c.trie.entries + len(c.words))
+            while sum(c.trie.entries() for c in own.values()) > params.trie_entries or sum(len(c.words) for c in own.values()) > 2 * params.task_words:
+                c = max(own.values(), key=lambda c: c.trie.entries() + len(c.words))
                 yield from c.spill(True)
                 del own[c.lang]  # however many languages there are, few stay
         for c in own.values():

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from loomstream.llm import phrases
 from loomstream.llm.phrases import Params
 
-TINY = Params(trie_entries=200, burst=3, task_words=100, filter_bits=1 << 9)
+TINY = Params(trie_entries=200, burst=40, task_words=100, filter_bits=1 << 9)
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
@@ -66,23 +66,34 @@ def test_exact_beyond_64_bits(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 6), st.integers(1, 6)), min_size=1, max_size=300), st.integers(1, 5))
-def test_trie_counts(triples, burst):
-    trie, want, got = phrases.HatTrie(3, burst), Counter(triples), Counter()
-    for part in (triples[::2], triples[1::2]):
-        ids = np.array(part, np.int64).reshape(-1, 3)
-        if len(ids):
-            trie.add(*phrases.distinct(ids[:, 0], (ids[:, 1] << phrases.SHIFT) | ids[:, 2]))
-        assert trie.entries == sum(map(trie.weight, trie.nodes))
-        for a, t, n in zip(*map(np.ndarray.tolist, trie.take(trie.largest())), strict=True):  # half of it leaves early
-            got[a, t >> 31, t & 2147483647] += n
-    for a, t, n in zip(*map(np.ndarray.tolist, trie.take(list(trie.nodes))), strict=True):
-        got[a, t >> 31, t & 2147483647] += n
-    assert got == want and trie.entries == 0
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(0, 6)), min_size=1, max_size=300), st.integers(1, 40), st.booleans())
+def test_trie_counts(triples, burst, pairs):
+    """Bursting and spilling in between change no count, for phrases of two words and of three."""
+    far = 1 << 31 if pairs else 1
+    packed = [(a, b * far + c) for a, b, c in triples]
+    trie, want, got = phrases.HatTrie(3 if pairs else 2, burst), Counter(packed), Counter()
+    for part in (packed[::3], packed[1::3], packed[2::3]):
+        ids = np.array(part, np.int64).reshape(-1, 2)
+        trie.add(ids[:, 0], ids[:, 1])
+        before = trie.entries()
+        taken = trie.take(0.5)  # half of it leaves early
+        assert trie.entries() + len(taken[0]) == before and 2 * len(taken[0]) >= before
+        for a, t, n in zip(*map(np.ndarray.tolist, taken), strict=True):
+            got[a, t] += n
+    for a, t, n in zip(*map(np.ndarray.tolist, trie.take(1)), strict=True):
+        got[a, t] += n
+    assert trie.entries() == 0 and got == want
+
+
+def test_words_are_counted_by_number():
+    trie = phrases.HatTrie(1, 5)
+    for part in ([3, 1, 3], [0, 7], []):
+        trie.add(np.array(part, np.int64), np.zeros(len(part), np.int64))
+    assert trie.entries() == 4 and [x.tolist() for x in trie.take(1)] == [[0, 1, 3, 7], [0] * 4, [1, 1, 2, 1]] and trie.entries() == 0
 
 
 def test_runs_are_sorted(spark):
-    c = phrases.Counter("en", 2, Params(), None)
+    c = phrases.Task("en", 2, Params(), None)
     c.add(["b a b c a b".encode(), "zz é a".encode()])
     rows = [x for b in c.spill(True) for x in b.column("phrase").to_pylist()]
     assert rows == sorted(rows, key=str.encode) and set(rows) == {"b a", "a b", "b c", "c a", "zz é", "é a"}
