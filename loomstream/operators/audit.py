@@ -75,10 +75,10 @@ def bars_per_day(bars: DataFrame, as_of: str, days: int = 30) -> DataFrame:
 
 
 def without_partial_days(per_day: DataFrame) -> DataFrame:
-    """Drops the first and last day of a symbol with more than two."""
-    key = Window.partitionBy("symbol", "ivl")
-    ranked = per_day.withColumns({"__i": F.row_number().over(key.orderBy("day")), "__n": F.count("*").over(key)})
-    return ranked.where("__n <= 2 or (__i > 1 and __i < __n)").drop("__i", "__n")
+    """Drops the first and last day of a symbol with more than two. The ends are aggregates, so no task sorts a whole series."""
+    ends = per_day.groupBy("symbol", "ivl").agg(F.min("day").alias("__first"), F.max("day").alias("__last"), F.count("*").alias("__n"))
+    own = per_day.join(ends.withColumnsRenamed({"symbol": "__symbol", "ivl": "__ivl"}), (F.col("symbol").eqNullSafe(F.col("__symbol"))) & (F.col("ivl").eqNullSafe(F.col("__ivl"))))
+    return own.where((F.col("__n") <= 2) | ((F.col("day") > F.col("__first")) & (F.col("day") < F.col("__last")))).select(*per_day.columns)
 
 
 #: Bars that a full day has.
@@ -100,11 +100,26 @@ def top_by_rows(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n).drop("__n")
 
 
+def with_previous(bars: DataFrame, value: str, name: str, piece: str = "month") -> DataFrame:
+    """Adds the value of a symbol's row before, in time order.
+
+    Series are cut by time: within a piece a window gives the row before, and the first row of a piece takes the last one
+    of the piece before, found among one row for each piece. So a task sorts a piece, never a whole series.
+    """
+    own = bars.withColumn("__piece", F.date_trunc(piece, "bar_ts"))
+    within = Window.partitionBy("symbol", "__piece").orderBy("bar_ts")
+    rows = own.withColumns({"__prev": F.lag(value).over(within), "__n": F.row_number().over(within)})
+    # a piece's last value, at the piece that follows it: a row for each piece, not for each bar
+    lasts = own.groupBy("symbol", "__piece").agg(F.max_by(F.struct(value), "bar_ts").alias("__last"))
+    before = lasts.withColumn("__before", F.lag("__last").over(Window.partitionBy("symbol").orderBy("__piece"))).select("symbol", "__piece", "__before")
+    carried = rows.join(before, ["symbol", "__piece"], "left")
+    return carried.withColumn(name, F.when(F.col("__n") == 1, F.col(f"__before.{value}")).otherwise(F.col("__prev"))).select(*bars.columns, name)
+
+
 def spikes(bars: DataFrame, ivl: str, since: str, threshold: float = 0.5) -> DataFrame:
     """Closes that move by more than the threshold from the one before, within the window of rows with a positive close."""
-    own = bars.where((F.col("ivl") == ivl) & (F.col("bar_ts") >= at(since)) & (F.col("close") > 0))
-    prev = F.lag("close").over(Window.partitionBy("symbol").orderBy("bar_ts"))
-    moved = own.select("symbol", "bar_ts", prev.alias("prev"), "close").where(F.abs(F.col("close") - F.col("prev")) / F.col("prev") > threshold)
+    own = bars.where((F.col("ivl") == ivl) & (F.col("bar_ts") >= at(since)) & (F.col("close") > 0)).select("symbol", "bar_ts", "close")
+    moved = with_previous(own, "close", "prev").where(F.abs(F.col("close") - F.col("prev")) / F.col("prev") > threshold)
     return moved.select("symbol", "bar_ts", F.round("prev", 2).alias("prev_close"), F.round("close", 2).alias("close"), F.round(F.abs(F.col("close") - F.col("prev")) / F.col("prev") * 100, 1).alias("pct"))
 
 

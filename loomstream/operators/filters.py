@@ -50,6 +50,13 @@ def zero_volume(bars: DataFrame, ivl: str, since: str) -> DataFrame:
     return bars.where((F.col("ivl") == ivl) & (F.col("bar_ts") >= F.lit(since).cast("timestamp"))).agg(F.count_if(F.col("volume") == 0).alias("zero_volume"))
 
 
-def in_windows(bars: DataFrame, windows: DataFrame) -> DataFrame:
-    """Bars inside labelled repair windows (label, start_ts, end_ts, both inclusive); the windows are a short list."""
-    return bars.join(F.broadcast(windows), F.col("bar_ts").between(F.col("start_ts"), F.col("end_ts"))).drop("start_ts", "end_ts")
+def in_windows(bars: DataFrame, windows: DataFrame, cell_seconds: int = 86_400) -> DataFrame:
+    """Bars inside labelled repair windows (label, start_ts, end_ts, both inclusive): a row for each bar and window that holds it.
+
+    Windows are cut into time cells and joined to the bars of the same cell, so the work is about that of the rows found,
+    however many windows there are and however they overlap. A window that ends before it starts holds nothing.
+    """
+    at = lambda c: F.floor(F.unix_micros(c) / F.lit(1_000_000 * cell_seconds))
+    cut = windows.where(F.col("start_ts") <= F.col("end_ts")).withColumn("__cell", F.explode(F.sequence(at("start_ts"), at("end_ts"))))
+    hit = bars.withColumn("__cell", at("bar_ts")).join(cut, "__cell")
+    return hit.where(F.col("bar_ts").between(F.col("start_ts"), F.col("end_ts"))).drop("start_ts", "end_ts", "__cell")

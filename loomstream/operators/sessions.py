@@ -92,3 +92,31 @@ def compared_session_bars(bars: DataFrame, stored: DataFrame) -> DataFrame:
     kept = stored.select("symbol", "bar_ts", F.col("close").alias("stored_close"), F.col("volume").alias("stored_volume"))
     both = made.join(kept, ["symbol", "bar_ts"], "full_outer")
     return both.withColumn("same", F.col("made_close").eqNullSafe(F.col("stored_close")) & F.col("made_volume").eqNullSafe(F.col("stored_volume")))
+
+
+def minute_start(minutes: int) -> Column:
+    at = F.unix_micros("bar_ts")
+    return F.timestamp_micros(at - F.pmod(at, F.lit(minutes * 60_000_000)))
+
+
+#: Levels of the cascade, each with the start of its bars; ``4h`` stands for the exchange's sessions.
+LEVELS = {
+    "5m": lambda: minute_start(5), "15m": lambda: minute_start(15), "30m": lambda: minute_start(30),
+    "1h": lambda: F.date_trunc("hour", "bar_ts"), "4h": lambda: session_of("bar_ts")[1], "d": lambda: F.date_trunc("day", "bar_ts"), "w": lambda: F.date_trunc("week", "bar_ts"), "m": lambda: F.date_trunc("month", "bar_ts"),
+}
+
+
+def cascade(bars: DataFrame, levels: Sequence[str] = tuple(LEVELS)) -> DataFrame:
+    """Bars of all levels from one scan of minute bars.
+
+    The bars are rolled up to the finest level first. Each of these then goes to its bar of every further level, and they
+    are combined before they are shuffled. Bars merge: the first open and last close of a level are those of the
+    earliest and latest finer bars, so every level is what it would be if it were made of the minute bars. Minutes
+    without an open price do not count.
+    """
+    finest, *rest = sorted(levels, key=list(LEVELS).index)
+    first = rolled(bars.where(F.col("open").isNotNull()), LEVELS[finest]())
+    starts = F.array(*[F.struct(F.lit(n).alias("ivl"), LEVELS[n]().alias("start")) for n in [finest, *rest]])
+    each = first.withColumn("__level", F.explode(starts)).where(F.col("__level.start").isNotNull()).select("*", F.col("__level.ivl").alias("ivl"), F.col("__level.start").alias("__start"))
+    out = rolled(each.drop("__level"), F.col("__start"), "ivl")
+    return out.select("symbol", "ivl", *[c for c in out.columns if c not in ("symbol", "ivl")])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .functions import scalar
 from .operators import audit, coverage, filters, joins, normalize, sessions
 from .plans import store as st
+from .plans.rollup import CoverageRollup
 from .sources import feeds
 from .sources.fixtures import AS_OF, SQL, Views
 from .streaming import ingest
@@ -112,9 +113,21 @@ def _(v: Views) -> DataFrame:
 
 
 BAR = "symbol, ivl, bar_ts, open, high, low, close, volume"
-simple("src_bars_range", lambda v: feeds.bars_range(v.bars_1h, "CLICK.JK", "1h", SINCE, "2024-01-20 12:00:00"), f"SELECT {BAR} FROM bars_1h WHERE symbol = 'CLICK.JK' AND bar_ts BETWEEN '{SINCE}' AND '2024-01-20 12:00:00' ORDER BY bar_ts LIMIT 500", "bar_ts")
-simple("src_bars_recent", lambda v: feeds.bars_recent(v.bars_d, 1000), f"SELECT {BAR} FROM bars_d ORDER BY bar_ts DESC, symbol LIMIT 1000", "bar_ts")
-simple("src_bars_lookback", lambda v: feeds.bars_lookback(v.bars_1h, ["CLICK.JK", "VIEW.JK"], AS_OF, days=7), f"SELECT {BAR} FROM bars_1h WHERE symbol IN ('CLICK.JK', 'VIEW.JK') AND bar_ts > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY", "bar_ts")
+
+
+def shown_bars(bars: DataFrame) -> DataFrame:
+    return bars.select(*BAR.split(", "))
+
+
+def stored(v: Views, bars: DataFrame) -> st.BarStore:
+    store = st.BarStore(v.spark, st.scratch_dir(v.spark), file_rows=100_000)
+    store.upsert(bars)
+    return store
+
+
+simple("src_bars_range", lambda v: shown_bars(feeds.bars_range(stored(v, v.bars_1h), "CLICK.JK", "1h", SINCE, "2024-01-20 12:00:00")), f"SELECT {BAR} FROM bars_1h WHERE symbol = 'CLICK.JK' AND bar_ts BETWEEN '{SINCE}' AND '2024-01-20 12:00:00' ORDER BY bar_ts LIMIT 500", "bar_ts")
+simple("src_bars_recent", lambda v: shown_bars(feeds.bars_recent(stored(v, v.bars_d), 1000)), f"SELECT {BAR} FROM bars_d ORDER BY bar_ts DESC, symbol LIMIT 1000", "bar_ts")
+simple("src_bars_lookback", lambda v: shown_bars(feeds.bars_lookback(stored(v, v.bars_1h), ["CLICK.JK", "VIEW.JK"], AS_OF, days=7)), f"SELECT {BAR} FROM bars_1h WHERE symbol IN ('CLICK.JK', 'VIEW.JK') AND bar_ts > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY", "bar_ts")
 
 # --- normalisation ---------------------------------------------------------------------------------------------------
 
@@ -183,6 +196,17 @@ simple(
     lambda v: filters.in_windows(v.bars_d, v.spark.createDataFrame(WINDOWS, "label string, a string, b string").select("label", F.col("a").cast("timestamp").alias("start_ts"), F.col("b").cast("timestamp").alias("end_ts"))),
     f"SELECT {BAR}, label FROM bars_d JOIN (VALUES {', '.join(map(str, WINDOWS))}) w(label, a, b) ON bar_ts BETWEEN CAST(a AS TIMESTAMP) AND CAST(b AS TIMESTAMP)", "bar_ts",
 )
+MANY = "(SELECT concat('w', o_orderkey) AS label, TIMESTAMP '2024-01-01' + to_minutes(CAST(o_orderkey * 37 % 43200 AS INTEGER)) AS a, TIMESTAMP '2024-01-01' + to_minutes(CAST(o_orderkey * 37 % 43200 + o_orderkey % 7 * 60 AS INTEGER)) AS b FROM orders)"
+
+
+@query("filt_backfill_many_windows", f"SELECT label, count(*) AS bars, min(bar_ts) AS first_ts, CAST(sum(volume) AS BIGINT) AS volume FROM bars_1h JOIN {MANY} ON bar_ts BETWEEN a AND b GROUP BY 1", "first_ts")
+def _(v: Views) -> DataFrame:
+    """Overlapping windows, as many as there are orders."""
+    at = lambda minutes: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=minutes.cast("int"))
+    key = F.col("o_orderkey")
+    windows = v.table("orders").select(F.concat(F.lit("w"), key.cast("string")).alias("label"), at(key * 37 % 43200).alias("start_ts"), at(key * 37 % 43200 + key % 7 * 60).alias("end_ts"))
+    return filters.in_windows(v.bars_1h, windows).groupBy("label").agg(F.count("*").alias("bars"), F.min("bar_ts").alias("first_ts"), F.sum("volume").alias("volume"))
+
 
 # --- joins -----------------------------------------------------------------------------------------------------------
 
@@ -202,6 +226,11 @@ simple("join_reconcile_eod", lambda v: joins.reconcile(v.vendor_eod, v.store_eod
 RECENT = "(SELECT * FROM {} WHERE bar_ts >= TIMESTAMP '" + AS_OF + "' - INTERVAL 5 DAY)"
 recent = lambda df: df.where(F.col("bar_ts") >= F.expr(f"timestamp '{AS_OF}' - interval 5 days"))
 simple("join_reconcile_intraday", lambda v: joins.reconcile(recent(v.bars_dirty.distinct()), recent(v.stored_1h), "minute"), reconcile_sql(RECENT.format("(SELECT DISTINCT * FROM bars_dirty)"), RECENT.format("stored_1h"), "minute"), "at_ts")
+simple("join_reconcile_eod_digest", lambda v: joins.reconcile_by_digest(v.vendor_eod, v.store_eod), reconcile_sql("vendor_eod", "store_eod", "day"), "at_ts")
+# at the store most days are as the vendor has them
+NEARLY = "(SELECT * REPLACE (CASE WHEN date_trunc('day', bar_ts) = TIMESTAMP '2024-01-17' AND volume % 3 = 0 THEN volume + 1 ELSE volume END AS volume) FROM stored_1h WHERE bar_ts <> TIMESTAMP '2024-01-05 03:00:00')"
+nearly = lambda v: v.stored_1h.where("bar_ts <> timestamp '2024-01-05 03:00:00'").withColumn("volume", F.when((F.to_date("bar_ts") == F.lit("2024-01-17").cast("date")) & (F.col("volume") % 3 == 0), F.col("volume") + 1).otherwise(F.col("volume")))
+simple("join_reconcile_intraday_digest", lambda v: joins.reconcile_by_digest(v.stored_1h, nearly(v), "minute", group="day"), reconcile_sql("stored_1h", NEARLY, "minute"), "at_ts")
 AGE = 3 * 24 * 60
 FRESH_SQL = f"""SELECT t.symbol, data_end, CASE WHEN data_end IS NULL THEN 'unknown' WHEN data_end < TIMESTAMP '{AS_OF}' - INTERVAL {AGE} MINUTE THEN 'stale' ELSE 'fresh' END AS status FROM (SELECT DISTINCT symbol FROM tracked) t LEFT JOIN latest USING (symbol)"""
 simple("join_freshness", lambda v: coverage.freshness(v.tracked, v.coverage_hist, AS_OF, AGE), FRESH_SQL, "data_end")
@@ -246,6 +275,11 @@ simple(
     "start",
 )
 ORACLES["agg_resample"] = ORACLES["agg_resample"].replace("SELECT * REPLACE (CAST(start AS VARCHAR) AS start)", "SELECT symbol, ivl, CAST(start AS VARCHAR) AS bar_ts, open, high, low, close, volume")
+BUCKETS = {"5m": "time_bucket(INTERVAL 5 MINUTE, bar_ts)", "15m": "time_bucket(INTERVAL 15 MINUTE, bar_ts)", "30m": "time_bucket(INTERVAL 30 MINUTE, bar_ts)", "1h": "date_trunc('hour', bar_ts)", "d": "date_trunc('day', bar_ts)", "w": "date_trunc('week', bar_ts)", "m": "date_trunc('month', bar_ts)"}
+BUCKETS["4h"] = f"CASE WHEN hour(bar_ts) IN (2, 3, 4, 6, 7, 8, 9) THEN {START_SQL} END"
+MINUTES = "(SELECT symbol, date_trunc('minute', ts) AS bar_ts, first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, event_id) AS close, sum(qty) AS volume FROM ticks_dense GROUP BY 1, 2)"
+LEVELS_SQL = " UNION ALL ".join(f"SELECT symbol, '{ivl}' AS ivl, CAST(CAST({start} AS TIMESTAMP) AS VARCHAR) AS bar_ts, {ROLL} FROM {MINUTES} GROUP BY 1, 2, 3" for ivl, start in BUCKETS.items())
+simple("agg_resample_cascade", lambda v: sessions.cascade(Views.bars(v.ticks_dense, "minute", "1m")), f"SELECT * FROM ({LEVELS_SQL}) WHERE bar_ts IS NOT NULL")
 simple("agg_coverage", lambda v: coverage.coverage(v.bars_d.unionByName(v.bars_1h)), "SELECT symbol, ivl, min(bar_ts) AS data_start, max(bar_ts) AS data_end, count(*) AS total_records FROM (SELECT * FROM bars_d UNION ALL SELECT * FROM bars_1h) GROUP BY 1, 2", "data_start data_end")
 ROLLUP_SQL = "SELECT symbol, max(data_end) AS data_end, max(total_records) AS total_records, max(data_start) AS data_start FROM coverage_hist WHERE ivl = 'd' GROUP BY 1"
 rollup = lambda v: coverage.rollup(v.coverage_hist, "d")
@@ -368,36 +402,30 @@ def _(v: Views) -> DataFrame:
 # --- sinks and streams -----------------------------------------------------------------------------------------------
 
 
-def filled_store(v: Views, bars: DataFrame) -> st.BarStore:
-    store = st.BarStore(v.spark, st.scratch_dir(v.spark))
-    store.upsert(bars)
-    return store
-
-
-def shown_bars(bars: DataFrame) -> DataFrame:
-    return bars.select("symbol", "ivl", "bar_ts", "open", "high", "low", "close", "volume")
-
-
 @query("sink_bars_upsert", f"SELECT {BAR} FROM ({LAST})", "bar_ts")
 def _(v: Views) -> DataFrame:
-    store = filled_store(v, v.store_eod)
+    store = stored(v, v.store_eod)
     store.upsert(v.vendor_eod)
     return shown_bars(store.bars())
 
 
 @query("sink_bars_insert_new", f"SELECT {BAR} FROM {SEQUENCED} QUALIFY row_number() OVER (PARTITION BY symbol, ivl, bar_ts ORDER BY seq) = 1", "bar_ts")
 def _(v: Views) -> DataFrame:
-    store = filled_store(v, v.store_eod)
+    store = stored(v, v.store_eod)
     store.insert_new(v.vendor_eod)
     return shown_bars(store.bars())
 
 
-@query("sink_actions_append", f"SELECT symbol, action_type, action_date, split_ratio FROM ({SPLIT_BULK_SQL}) UNION ALL SELECT symbol, action_type, action_date, split_ratio FROM ({SPLIT_BULK_SQL})", "action_date")
+APPENDED = " UNION ALL ".join(f"SELECT symbol, action_type, action_date, dividend_amount, split_ratio FROM ({q})" for q in (SPLIT_BULK_SQL, DIV_BULK_SQL, SPLIT_BULK_SQL))
+
+
+@query("sink_actions_append", APPENDED, "action_date")
 def _(v: Views) -> DataFrame:
-    path, rows = st.scratch_dir(v.spark), normalize.splits_bulk(split_feed(v), AS_OF)
-    st.append(rows, path)
-    st.append(rows, path)
-    return v.spark.read.schema(feeds.schemas.ACTIONS).parquet(path).select("symbol", "action_type", "action_date", "split_ratio")
+    """Splits, dividends, and the splits once more: there is no key."""
+    path, splits = st.scratch_dir(v.spark), normalize.splits_bulk(split_feed(v), AS_OF)
+    for rows in (splits, normalize.dividends_bulk(dividend_feed(v), AS_OF), splits):
+        st.append(rows, path)
+    return v.spark.read.schema(feeds.schemas.ACTIONS).parquet(path).select("symbol", "action_type", "action_date", "dividend_amount", "split_ratio")
 
 
 @query("sink_instruments_append", f"SELECT symbol, name, currency, is_active FROM ({LISTING_SQL})")
@@ -419,6 +447,27 @@ def _(v: Views) -> DataFrame:
     return table.read()
 
 
+@query("agg_coverage_incremental", f"SELECT symbol, ivl, min(bar_ts) AS data_start, max(bar_ts) AS data_end, count(*) AS total_records FROM (SELECT symbol, ivl, bar_ts FROM ({LAST}) UNION ALL SELECT symbol, ivl, bar_ts FROM bars_1h) GROUP BY 1, 2", "data_start data_end")
+def _(v: Views) -> DataFrame:
+    """Kept along with two writes; the second one touches months of daily bars only."""
+    store = stored(v, v.store_eod.unionByName(v.bars_1h))
+    rollup = CoverageRollup(v.spark, st.scratch_dir(v.spark), store)
+    rollup.refresh()
+    store.upsert(v.vendor_eod)
+    rollup.refresh()
+    return rollup.coverage()
+
+
+@query("agg_file_profile", "SELECT ivl, strftime(bar_ts, '%Y-%m-%d') AS dt, count(*) AS rows, true AS has_bytes FROM bars_1h GROUP BY 1, 2")
+def _(v: Views) -> DataFrame:
+    """Rows and bytes by partition of a store whose small files were packed after four writes."""
+    store = stored(v, v.bars_1h.where("volume % 4 = 0"))
+    for i in (1, 2, 3):
+        store.insert_new(v.bars_1h.where(f"volume % 4 = {i}"))
+    store.pack()
+    return store.profile().groupBy("ivl", "dt").agg(F.sum("rows").alias("rows"), (F.sum("bytes") > 0).alias("has_bytes"))
+
+
 @query("sink_metadata_cleanup", "SELECT count(*) AS before, count(DISTINCT (symbol, ivl)) AS after, count(*) - count(DISTINCT (symbol, ivl)) AS removed FROM coverage_hist")
 def _(v: Views) -> DataFrame:
     table = st.VersionedTable(v.spark, st.scratch_dir(v.spark), feeds.schemas.COVERAGE)
@@ -426,15 +475,17 @@ def _(v: Views) -> DataFrame:
     return st.cleanup_coverage(table, AS_OF)
 
 
-@query("sink_export", f"SELECT {BAR} FROM bars_d", "bar_ts")
-def _(v: Views) -> DataFrame:
-    path = st.scratch_dir(v.spark)
-    st.export(v.bars_d, path)
-    csv = v.spark.read.schema(v.bars_d.schema).option("header", True).csv(f"{path}/csv")
-    same = v.spark.read.schema(v.bars_d.schema).parquet(f"{path}/parquet")
-    return same.intersectAll(csv)
+def exported(df: DataFrame, blank: bool = False) -> DataFrame:
+    """What both exports of the rows have in common, as often as they have it; ``blank``: what CSV has nothing for is an empty text."""
+    path = st.scratch_dir(df.sparkSession)
+    st.export(df, path)
+    csv = df.sparkSession.read.schema(df.schema).option("header", True).csv(f"{path}/csv")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/parquet").intersectAll(csv.na.fill("") if blank else csv)
 
 
+simple("sink_export", lambda v: exported(v.bars_d), f"SELECT {BAR} FROM bars_d", "bar_ts")
+simple("sink_export_actions", lambda v: exported(both_actions(v)), f"SELECT * FROM {BOTH}", ACTION_TIMES)
+simple("sink_export_instruments", lambda v: exported(normalize.listing(v.listing_raw, AS_OF), blank=True), LISTING_SQL, "created_at")
 LEDGER_SQL = "SELECT symbol, count(v.symbol) AS rows, count(v.symbol) > 0 AS success, CASE WHEN count(v.symbol) = 0 THEN 'no data' END AS error FROM (SELECT symbol FROM tracked UNION SELECT symbol FROM vendor_eod) w(symbol) LEFT JOIN (SELECT symbol FROM vendor_eod) v USING (symbol) GROUP BY 1"
 
 
@@ -448,18 +499,49 @@ simple("sink_run_ledger", lambda v: run_ledger(v).select("symbol", "rows", "succ
 simple("agg_run_summary", lambda v: audit.run_summary(run_ledger(v), both_actions(v)), f"SELECT *, (SELECT count(*) FROM {BOTH} WHERE action_type = 'dividend') AS dividends, (SELECT count(*) FROM {BOTH} WHERE action_type = 'split') AS splits FROM (SELECT count(*) FILTER (WHERE success) AS successes, count(*) FILTER (WHERE NOT success) AS failures, CAST(sum(rows) AS BIGINT) AS records FROM ({LEDGER_SQL}))")
 
 
+def landed_in_parts(df: DataFrame, parts: int) -> str:
+    """A landed JSON feed of that many files at least, for as many micro-batches, each with rows of all kinds."""
+    path = st.scratch_dir(df.sparkSession)
+    df.repartition(parts, F.xxhash64(*df.columns)).write.partitionBy("period").json(path)
+    return path
+
+
 @query("stream_ingest_bars", f"SELECT {BAR} FROM ({LAST})", "bar_ts")
 def _(v: Views) -> DataFrame:
-    store = filled_store(v, v.store_eod)
-    feed = v.spark.readStream.schema(f"{feeds.schemas.EOD}, symbol string, period string").json(landed(eod_feed(v), "period"))
+    store = stored(v, v.store_eod)
+    feed = ingest.stream_feed(v.spark, landed_in_parts(eod_feed(v), 3), files_per_batch=1)
     ingest.ingest_bars(feed, lambda df: normalize.eod(df, AS_OF), store, st.scratch_dir(v.spark))
     return shown_bars(store.bars())
 
 
+@query("stream_ingest_new_bars", f"SELECT {BAR} FROM {SEQUENCED} QUALIFY row_number() OVER (PARTITION BY symbol, ivl, bar_ts ORDER BY seq) = 1", "bar_ts")
+def _(v: Views) -> DataFrame:
+    store, checkpoint = stored(v, v.store_eod), st.scratch_dir(v.spark)
+    landing = landed_in_parts(eod_feed(v), 2)
+    for _ in range(2):  # the second run finds nothing new
+        ingest.ingest_bars(ingest.stream_feed(v.spark, landing, files_per_batch=1), lambda df: normalize.eod(df, AS_OF), store, checkpoint, insert_only=True)
+    return shown_bars(store.bars())
+
+
+@query("stream_ingest_actions", f"SELECT 'stored' AS kind, symbol, CAST(action_date AS VARCHAR) AS date, dividend_amount FROM ({DIV_SQL}) WHERE action_date IS NOT NULL UNION ALL SELECT 'rejected', {QUALIFIED_CODE}, date, CAST(value AS DOUBLE) FROM actions_raw WHERE date = 'bad'")
+def _(v: Views) -> DataFrame:
+    path, quarantine = st.scratch_dir(v.spark), st.scratch_dir(v.spark)
+    landing = landed_in_parts(symbol_dividends(v).drop("period").withColumn("period", F.lit("d")), 2)
+    feed = v.spark.readStream.schema(f"{feeds.schemas.DIVIDENDS}, symbol string").option("maxFilesPerTrigger", 1).json(landing)
+    ingest.ingest_actions(feed, lambda df: normalize.dividends(df, AS_OF), path, st.scratch_dir(v.spark), quarantine)
+    kept = v.spark.read.parquet(path).select(F.lit("stored").alias("kind"), "symbol", F.col("action_date").cast("string").alias("date"), "dividend_amount")
+    return kept.unionByName(v.spark.read.parquet(quarantine).select(F.lit("rejected").alias("kind"), "symbol", "date", F.col("value").alias("dividend_amount")))
+
+
 @query("stream_session_4h", f"SELECT {BAR} FROM four", "bar_ts")
 def _(v: Views) -> DataFrame:
+    """Three micro-batches: two of bars of all times, some wrong, and one that corrects those."""
     landing = st.scratch_dir(v.spark)
-    v.bars_1h.write.parquet(landing)
+    wrong = F.col("volume") % 5 == 0
+    first = v.bars_1h.withColumn("close", F.when(wrong, F.col("close") + 1).otherwise(F.col("close"))).withColumn("volume", F.when(wrong, F.col("volume") + 7).otherwise(F.col("volume")))
+    first.withColumn("sent", F.lit(1)).repartition(2, "bar_ts").write.parquet(landing)
+    v.bars_1h.where(wrong).withColumn("sent", F.lit(2)).coalesce(1).write.mode("append").parquet(landing)
     source, target = (st.BarStore(v.spark, st.scratch_dir(v.spark)) for _ in range(2))
-    ingest.keep_session_bars(v.spark.readStream.schema(v.bars_1h.schema).parquet(landing), source, target, st.scratch_dir(v.spark), AS_OF)
+    feed = v.spark.readStream.schema(first.withColumn("sent", F.lit(1)).schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    ingest.keep_session_bars(feed, source, target, st.scratch_dir(v.spark), AS_OF, ["sent"], "5 days")
     return shown_bars(target.bars())

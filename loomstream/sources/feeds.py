@@ -1,4 +1,4 @@
-"""Scans: landed JSON feeds, symbol lists, and range reads of stored bars.
+"""Scans: landed JSON feeds, symbol lists, and range reads of a bar store, whose commits name the files that can hold the rows.
 
 A feed is a folder of JSON files whose lines are each an array of flat objects, as
 vendors answer, or one object; ``multi_line`` is for answers spread over lines. The
@@ -8,6 +8,7 @@ symbol and period of per-symbol feeds may be partition folders (``symbol=.../per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import suffixed
 from . import schemas
 
+if TYPE_CHECKING:
+    from ..plans.store import BarStore
+
 
 def read_feed(spark: SparkSession, path: str, schema: str, partitions: str = "symbol string, period string", multi_line: bool = False) -> DataFrame:
     """A landed feed with its explicit schema; fields that a file lacks are null."""
@@ -61,24 +65,21 @@ def first_symbols(spark: SparkSession, path: str, n: int, suffix: str = ".JK") -
     return lines.where((line != "") & ~line.startswith("#")).select(suffixed(line, suffix).alias("symbol"), *at).orderBy(*at).limit(n).select("symbol")
 
 
-def bars_range(bars: DataFrame, symbol: str, ivl: str, start: str, end: str, limit: int = 500) -> DataFrame:
-    """Bars of one symbol and interval within [start, end], oldest first."""
-    hit = (F.col("symbol") == symbol) & (F.col("ivl") == ivl) & F.col("bar_ts").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))
-    return bars.where(hit).orderBy("bar_ts").limit(limit)
+def bars_range(store: BarStore, symbol: str, ivl: str, start: str, end: str, limit: int = 500) -> DataFrame:
+    """Stored bars of one symbol and interval within [start, end], oldest first."""
+    return store.scan(ivl, [symbol], start, end).orderBy("bar_ts").limit(limit)
 
 
-def bars_recent(bars: DataFrame, limit: int, symbol: str | None = None, ivl: str = "d") -> DataFrame:
-    """Newest bars first; ties by symbol."""
-    own = bars.where(F.col("ivl") == ivl)
-    if symbol is not None:
-        own = own.where(F.col("symbol") == symbol)
+def bars_recent(store: BarStore, limit: int, symbol: str | None = None, ivl: str = "d") -> DataFrame:
+    """Newest stored bars first; ties by symbol."""
+    own = store.newest(limit, ivl) if symbol is None else store.scan(ivl, [symbol])
     return own.orderBy(F.desc("bar_ts"), "symbol").limit(limit)
 
 
-def bars_lookback(bars: DataFrame, symbols: Sequence[str], as_of: str, months: int = 0, days: int = 0) -> DataFrame:
-    """Bars of the symbols newer than so many months and days before ``as_of``."""
-    since = F.expr(f"timestamp '{as_of}' - interval '{months}' month - interval '{days}' day")
-    return bars.where(F.col("symbol").isin(list(symbols)) & (F.col("bar_ts") > since))
+def bars_lookback(store: BarStore, symbols: Sequence[str], as_of: str, months: int = 0, days: int = 0, ivl: str | None = None) -> DataFrame:
+    """Stored bars of the symbols newer than so many months and days before ``as_of``."""
+    since = store.spark.sql(f"SELECT timestamp '{as_of}' - interval '{months}' month - interval '{days}' day AS t").head().t
+    return store.scan(ivl, symbols, str(since)).where(F.col("bar_ts") > F.lit(since))
 
 
 def actions_recent(actions: DataFrame, limit: int | None = None) -> DataFrame:

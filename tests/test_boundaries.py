@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from loomstream.operators import audit, coverage, filters, joins, normalize, ses
 from loomstream.plans import store as st
 from loomstream.sources import feeds
 from loomstream.sources.fixtures import AS_OF
-from loomstream.streaming import ingest
 
 BAR = "symbol string, ivl string, bar_ts timestamp, open double, high double, low double, close double, volume long"
 
@@ -60,16 +57,6 @@ def test_corrections_in_both_modes(spark, bars):
         assert sorted((r.bar_ts.month, r.close) for r in store.bars().collect()) == [(1, close), (2, 2)]
 
 
-def test_store_prunes_partitions(spark, bars, monkeypatch):
-    store = st.BarStore(spark, st.scratch_dir(spark))
-    store.upsert(bars(*[("A", "d", f"2024-0{m}-02 00:00:00", P, m) for m in range(1, 9)], ("A", "1h", "2024-01-02 03:00:00", P, 1)))
-    batch = store.conform(bars(("B", "d", "2024-03-09 00:00:00", P, 1)))
-    near = store.touched(batch)
-    assert near.count() == 1 and re.search(r"PartitionFilters: \[[^]]*2024-03", near._jdf.queryExecution().executedPlan().toString())
-    monkeypatch.setattr(st, "MOST_LISTED", 0)
-    assert store.touched(batch).count() == 1
-
-
 def test_coverage_of_one_day(spark):
     def cov(when, n):
         return spark.createDataFrame([("A", "d", when, n, when, when)], "symbol string, ivl string, u string, total_records long, s string, e string").select("symbol", "ivl", F.col("u").cast("timestamp").alias("last_updated"), "total_records", F.col("s").cast("timestamp").alias("data_start"), F.col("e").cast("timestamp").alias("data_end"))
@@ -162,35 +149,6 @@ def test_multi_line_arrays(spark, tmp_path):
     assert df.count() == 2 and [(r.symbol, r.ivl, r.volume) for r in normalize.eod(df, AS_OF).collect()] == [("A", "d", 7)]
 
 
-def test_store_commits_whole_writes(spark, bars):
-    """Within a batch the later row wins; a reader's rows stay while others write; of two writers of one version, one fails."""
-    store = st.BarStore(spark, st.scratch_dir(spark))
-    store.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 2), 1), ("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 9), 1)).coalesce(1))
-    old = store.bars()
-    assert [r.close for r in old.collect()] == [9]
-    store.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 5), 1), ("A", "d", "2024-02-02 00:00:00", P, 1)))
-    assert [r.close for r in old.collect()] == [9] and sorted(r.close for r in store.bars().collect()) == [2, 5]
-    late = st.BarStore(spark, store.path)
-    late._next = lambda: 2
-    with pytest.raises(RuntimeError):
-        late.upsert(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 7), 1)))
-    assert sorted(r.close for r in store.bars().collect()) == [2, 5]
-    store.insert_new(bars(("A", "d", "2024-01-02 00:00:00", (1, 3, 1, 8), 1), ("A", "d", "2024-01-03 00:00:00", (1, 3, 1, 6), 1)))
-    assert sorted(r.close for r in store.bars().collect()) == [2, 5, 6]
-
-
-def test_streams_over_several_batches(spark, bars):
-    """Three micro-batches, the last one a correction of the first day: the session bar is made again, others stay."""
-    landing, checkpoint = st.scratch_dir(spark), st.scratch_dir(spark)
-    source, target = (st.BarStore(spark, st.scratch_dir(spark)) for _ in range(2))
-    days = [("2024-01-02 02:00:00", 2), ("2024-01-03 02:00:00", 3), ("2024-01-02 02:00:00", 7)]
-    for at, close in days:
-        df = bars(("A", "1h", at, (1, 9, 1, close), 10))
-        df.coalesce(1).write.mode("append").parquet(landing)
-        ingest.keep_session_bars(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(landing), source, target, checkpoint, AS_OF)
-    assert sorted((r.bar_ts.day, r.close, r.volume) for r in target.bars().collect()) == [(2, 7, 10), (3, 3, 10)]
-
-
 def test_first_symbols_follow_the_lines(spark):
     path = st.scratch_dir(spark)
     spark.createDataFrame([(x,) for x in ("# list", "ZZZ", "", "BBB.JK", " AAA ", "CCC")], "value string").coalesce(1).write.text(path)
