@@ -11,12 +11,16 @@ correlation of neighbours. Fisher's method joins them. Words and other text fail
 these tests; the Benjamini-Hochberg rule over all runs of an encoding and length
 class rejects them at a false-discovery rate, and of the others so many are taken
 for random as the evenness of their p-values explains, so that what is reported
-has a bounded share of text too. A run is reported where its length gives the
-battery power: where a run of that length whose characters repeat as often as a
-text's do would fail the uniformity test with a probability of ``Params.power``
-at least (``least_length``: 16 characters of base64, 31 of hexadecimal). Shorter
-runs are tested and rated all the same, and ``tested_runs`` returns them. Runs
-that overlap a base span are left to it.
+has a bounded share of text too. Where a run's length gives the battery power, that
+decides: where a run of that length whose characters repeat as often as a text's
+do would fail the uniformity test with a probability of ``Params.power`` at least
+(``least_length``: 16 characters of base64, 31 of hexadecimal, 27 of decimals, 30
+of base36, 36 of base32). Of shorter runs the same rule decides, but only in
+classes of which at least ``Params.share`` is random by the same estimate: in a
+class of hexadecimal keys each one is reported, in one of long words none. A run
+that has both ``+`` or ``/`` and ``-`` or ``_`` is no encoding as a whole; it is cut at
+``+`` and ``/``, as a path is, and its parts are tested. Runs that overlap a base
+span are left to it.
 
 All of it is DataFrame functions: a text is cut by ``split`` at the matches that
 ``regexp_extract_all`` returns, so a match starts where the lengths of what
@@ -53,7 +57,8 @@ KINDS = ("assign", "access", "hex", "random")
 class Params:
     shortest: int = 16  # characters of a run that the battery tests
     rate: float = 0.05  # false-discovery rate of the rejections
-    power: float = 0.95  # chance that a text's run fails at that rate, for lengths that are reported
+    power: float = 0.95  # chance that a text's run fails at that rate, from which on a run is reported whatever its class holds
+    share: float = 0.5  # random runs of a class in which shorter runs are reported
 
 
 #: Encodings from the smallest alphabet on, with their characters.
@@ -210,7 +215,7 @@ EVEN_CLASSES = 4
 
 
 def false_discovery_limits(candidates: DataFrame, rate: float) -> DataFrame:
-    """For each encoding and length class, the p-value class (counted in falling p) from which Benjamini-Hochberg rejects, and ``cut``.
+    """For each encoding and length class, the p-value class (counted in falling p) from which Benjamini-Hochberg rejects, ``cut``, and the ``share`` of random runs.
 
     Classes below ``cut`` are taken for random: those that are not rejected, as far as their number is explained by p-values
     being even for random runs (Storey's estimate from the largest p-values), up to a share ``rate`` of them.
@@ -224,7 +229,8 @@ def false_discovery_limits(candidates: DataFrame, rate: float) -> DataFrame:
     even = f"(({count(f'y.bin < {EVEN_CLASSES}')} + 1) / (1 - pow(10D, -{EVEN_CLASSES} / 10D)))"
     below = count("y.bin < b")
     cut = f"array_max(filter(sequence(0, coalesce(rejected, {P_CLASSES + 1})), b -> {below} - even * (1 - pow(10D, -b / 10D)) <= {rate}D * {below}))"
-    return gathered.select("*", F.expr(rejected).alias("rejected"), F.expr(even).alias("even")).select("encoding", "lengths", "rejected", F.expr(cut).alias("cut"))
+    share = f"{count(f'y.bin < {EVEN_CLASSES}')} / (1 - pow(10D, -{EVEN_CLASSES} / 10D)) / total"
+    return gathered.select("*", F.expr(rejected).alias("rejected"), F.expr(even).alias("even")).select("encoding", "lengths", "rejected", F.expr(cut).alias("cut"), F.expr(share).alias("share"))
 
 
 def candidate_pattern(params: Params) -> str:
@@ -232,6 +238,16 @@ def candidate_pattern(params: Params) -> str:
     return rf"(?<![0-9A-Za-z+/_\-])[0-9A-Za-z+/_\-]{{{params.shortest},}}={{0,2}}"
 
 
+def parts_of_mixed(runs: DataFrame, params: Params) -> DataFrame:
+    """``k1``, ``k2``, ``s`` and ``token`` of runs, those that mix the alphabets cut at ``+`` and ``/``."""
+    token, pattern = F.col("token"), rf"(?<![0-9A-Za-z_\-])[0-9A-Za-z_\-]{{{params.shortest},}}={{0,2}}"
+    matched = F.regexp_extract_all(token, F.lit(pattern), F.lit(0))
+    moved = lambda x: F.struct((F.col("s.start") + x["start"]).alias("start"), F.lit(3).alias("kind"), (F.col("s.start") + x["end"]).alias("end"))
+    parts = F.zip_with(located(token, pattern, matched), matched, lambda x, m: F.struct(moved(x).alias("s"), m.alias("token")))
+    mixed = token.rlike("[+/]") & token.rlike("[_-]")
+    return runs.select("k1", "k2", F.explode(F.when(mixed, parts).otherwise(F.array(F.struct("s", "token")))).alias("r")).select("k1", "k2", "r.s", "r.token")
+
+
 def text_keys(text: Column) -> tuple[Column, Column]:
     """128 bits that stand for a text."""
     return F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2")
@@ -248,10 +264,10 @@ def tested_runs(docs: DataFrame, params: Params = Params()) -> DataFrame:
     matched = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     found = F.zip_with(located(text, pattern, matched), matched, lambda s, m: F.struct(F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")).alias("s"), m.alias("token")))
     rows = texts(docs).where(text.rlike(pattern)).select(*text_keys(text), F.explode(found).alias("r"))
-    runs = saved(rows.select("k1", "k2", "r.s", "r.token").dropDuplicates(["k1", "k2", "s"]))
+    runs = saved(parts_of_mixed(rows.select("k1", "k2", "r.s", "r.token").dropDuplicates(["k1", "k2", "s"]), params))
     tested = saved(with_p_values(runs, params).withColumn("lengths", length_class(F.col("n"))).withColumn("bin", p_class(F.col("p"))))
     limits = F.broadcast(false_discovery_limits(tested, params.rate))  # a row for each encoding and length class
-    return tested.join(limits, ["encoding", "lengths"]).withColumns({"rejected": F.coalesce(F.col("bin") >= F.col("rejected"), F.lit(False)), "random": F.col("power") & (F.col("bin") < F.col("cut"))})
+    return tested.join(limits, ["encoding", "lengths"]).withColumns({"rejected": F.coalesce(F.col("bin") >= F.col("rejected"), F.lit(False)), "random": (F.col("power") | (F.col("share") >= params.share)) & (F.col("bin") < F.col("cut"))})
 
 
 def random_spans(docs: DataFrame, params: Params = Params()) -> DataFrame:
