@@ -109,3 +109,12 @@ def test_edges(spark):
         assert len(run(docs, labels.limit(0)).collect()) == 45 and run(docs.limit(0), labels).count() == 0
     got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, labels, toxicity.Params(significance=(0.0, 2.0))).collect()}
     assert got[2] == 1 and got[3] == 0 and got[91] == 0
+
+
+def test_toxic_rows_that_are_found(spark):
+    """Of the held-out toxic rows at least four fifths are at the threshold, and hardly any other row is."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    own = toxicity.toxicity_scores(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
+    toxic, clean = ([r.predicted for r in own if r.toxic == t] for t in (1, 0))
+    assert len(toxic) > 100 and sum(toxic) >= 0.82 * len(toxic) and sum(clean) <= 0.01 * len(clean)
