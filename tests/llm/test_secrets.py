@@ -104,6 +104,53 @@ def battery(token):
     return fit[0], n, math.exp(-half) * (1 + half + half * half / 2)
 
 
+RUN = re.compile(r"(?<![0-9A-Za-z+/_\-])[0-9A-Za-z+/_\-]{16,}={0,2}")
+PART = re.compile(r"(?<![0-9A-Za-z_\-])[0-9A-Za-z_\-]{16,}={0,2}")
+
+
+def plain_runs(text):
+    """(start, end, token) of the runs of a text; those that mix the alphabets are cut."""
+    for m in RUN.finditer(text):
+        if re.search("[+/]", m[0]) and re.search("[_-]", m[0]):
+            yield from ((m.start() + x.start(), m.start() + x.end(), x[0]) for x in PART.finditer(m[0]))
+        else:
+            yield m.start(), m.end(), m[0]
+
+
+def plain_spans(texts, params=sc.Params()):
+    """All spans of each distinct text, by start, then kind: of the patterns, and of the battery where it leaves these alone."""
+    classes = defaultdict(list)
+    for text in set(texts):
+        for start, end, token in plain_runs(text):
+            if (found := battery(token)) is not None:
+                encoding, n, p = found
+                classes[encoding, math.floor(math.log2(n) * 8)].append((min(sc.P_CLASSES, math.floor(-10 * math.log10(max(p, 1e-20)))), n, text, start, end))
+    random_ = defaultdict(list)
+    for (encoding, _), runs in classes.items():
+        bins = [b for b, *_ in runs]
+        rejected = min((b for b in bins if 10 ** (-b / 10) * len(runs) <= params.rate * sum(x >= b for x in bins)), default=sc.P_CLASSES + 1)
+        few = sum(b < sc.EVEN_CLASSES for b in bins) / (1 - 10 ** (-sc.EVEN_CLASSES / 10))
+        even = few + 1 / (1 - 10 ** (-sc.EVEN_CLASSES / 10))
+        below = [sum(x < b for x in bins) for b in range(rejected + 1)]
+        cut = max(b for b in range(rejected + 1) if below[b] - even * (1 - 10 ** (-b / 10)) <= params.rate * below[b])
+        least = sc.least_length(len(dict(sc.ENCODINGS)[encoding]), params)
+        for b, n, text, start, end in runs:
+            if b < cut and (n >= least or few / len(runs) >= params.share):
+                random_[text].append((start, 3, end))
+    out = {}
+    for text in set(texts):
+        own = base(text)
+        out[text] = sorted(own + [r for r in random_[text] if not any(b[0] < r[2] and r[0] < b[2] for b in own)])
+    return out
+
+
+def test_documents_against_python(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = plain_spans([r.text or "" for r in docs.select("text").collect()])
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id: r.spans for r in sc.scan(docs).collect()} == {d: shown(want[t]) for d, t in texts.items()} and any(k == 3 for s in want.values() for _, k, _ in s)
+
+
 def mixed_rows():
     rng = random.Random(8)
     letters = "etaoinshrdlucmfwypvbgkqjxz"
