@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import local_time
 
-# Fixed values.
+# The hours must be these for the same bars as other tools make.
 #: Session name: UTC hours that belong to it, and the hour its bar starts at.
 SESSIONS = {"AM": ((2, 3, 4), 2), "PM": ((6, 7, 8, 9), 6)}
 

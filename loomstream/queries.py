@@ -543,5 +543,5 @@ def _(v: Views) -> DataFrame:
     v.bars_1h.where(wrong).withColumn("sent", F.lit(2)).coalesce(1).write.mode("append").parquet(landing)
     source, target = (st.BarStore(v.spark, st.scratch_dir(v.spark)) for _ in range(2))
     feed = v.spark.readStream.schema(first.withColumn("sent", F.lit(1)).schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    ingest.keep_session_bars(feed, source, target, st.scratch_dir(v.spark), AS_OF, ["sent"], "5 days")
+    ingest.keep_session_bars(feed, source, target, st.scratch_dir(v.spark), AS_OF, ["sent"], "5 days", 8)
     return shown_bars(target.bars())

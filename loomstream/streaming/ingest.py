@@ -23,9 +23,15 @@ def stream_name(checkpoint: str) -> str:
     return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
 
-def run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Works off what has landed since the last run."""
-    query = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", partitions: int | None = None) -> StreamingQuery:
+    """Works off what has landed since the last run. ``partitions``: of the state, from the first run on; those of the session by default."""
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    try:
+        conf.set(key, str(partitions or before))  # a stream takes the settings along that hold when it starts
+        query = stream.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(key, before)
     query.awaitTermination()
     return query
 
@@ -109,12 +115,12 @@ def remade(source: BarStore, parts: set[str], touched: DataFrame | None, as_of:
     return made if touched is None else made.join(touched.select("symbol", F.col("session_ts").alias("bar_ts")).distinct(), ["symbol", "bar_ts"], "left_semi")
 
 
-def keep_session_bars(bars: DataFrame, source: BarStore, target: BarStore, checkpoint: str, as_of: str, order: list[str], horizon: str = "10 days") -> int:
+def keep_session_bars(bars: DataFrame, source: BarStore, target: BarStore, checkpoint: str, as_of: str, order: list[str], horizon: str = "10 days", state_partitions: int | None = None) -> int:
     """Stores 1h bars as they arrive and keeps the bars of their sessions; returns the rows that came too late for the state.
 
     The first stream stores the bars. The second keeps a state for each session and writes a session's bar whenever a
     batch changes it: while it is open, once it is closed, and again on a correction, without reading the store.
-    ``order`` names the columns by which a bar counts as written later. Corrections older than the horizon meet no state
+    ``order`` names the columns by which a bar counts as written later; ``state_partitions`` is for few symbols or many. Corrections older than the horizon meet no state
     any more, and sessions with bars off the full hour do not fit into it: both are made again from the stored bars of
     the partitions that this run has written, so no correction is lost. A session whose bars all lose their open price
     keeps its last bar.
@@ -134,7 +140,7 @@ def keep_session_bars(bars: DataFrame, source: BarStore, target: BarStore, check
             rows = rows.unionByName(remade(source, every, odd, as_of), allowMissingColumns=True)
         target.upsert(rows, stream_name(f"{checkpoint}/sessions"), number)
 
-    query = run(session_states(bars, order, horizon), step, f"{checkpoint}/sessions", "update")
+    query = run(session_states(bars, order, horizon), step, f"{checkpoint}/sessions", "update", state_partitions)
     late = sum(int(s.numRowsDroppedByWatermark) for p in query.recentProgress for s in p.stateOperators)
     if late:
         target.upsert(remade(source, written, None, as_of))
