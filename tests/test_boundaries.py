@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from loomstream.functions import scalar
 from loomstream.operators import audit, coverage, filters, joins, normalize, sessions
 from loomstream.plans import store as st
+from loomstream.queries import SINCE, SPIKES
 from loomstream.sources import feeds
 from loomstream.sources.fixtures import AS_OF
 
@@ -57,6 +59,16 @@ def test_corrections_in_both_modes(spark, bars):
         assert sorted((r.bar_ts.month, r.close) for r in store.bars().collect()) == [(1, close), (2, 2)]
 
 
+def test_spikes_round_as_their_sql(spark, bars):
+    """Percentages in the middle between two tenths whose doubles are just below it, and closes with three places."""
+    closes = [20.0, 420.89, 100.0, 326.65, 20.0, 32.19, 80.0, 488.28, 1.005, 2.675, 1.25, 0.015, 0.5, 16.0, 41.0]
+    df = bars(*[("A", "d", f"2024-01-{10 + i} 00:00:00", (c, c, c, c), 1) for i, c in enumerate(closes)])
+    got = sorted(tuple(r) for r in audit.spikes(df, "d", SINCE).select(F.date_format("bar_ts", "yyyy-MM-dd HH:mm:ss"), "prev_close", "close", "pct").collect())
+    values = ", ".join(f"('A', TIMESTAMP '2024-01-{10 + i} 00:00:00', CAST({c} AS DOUBLE))" for i, c in enumerate(closes))
+    want = duckdb.sql(f"SELECT CAST(bar_ts AS VARCHAR), prev_close, close, pct FROM ({SPIKES.format(f'(VALUES {values}) b(symbol, bar_ts, close)')})").fetchall()
+    assert got == sorted(want) and {r[3] for r in got} >= {2004.5, 226.7, 61.0, 510.4}
+
+
 def test_coverage_of_one_day(spark):
     def cov(when, n):
         return spark.createDataFrame([("A", "d", when, n, when, when)], "symbol string, ivl string, u string, total_records long, s string, e string").select("symbol", "ivl", F.col("u").cast("timestamp").alias("last_updated"), "total_records", F.col("s").cast("timestamp").alias("data_start"), F.col("e").cast("timestamp").alias("data_end"))
