@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loomstream.operators import audit, filters, joins, sessions
 from loomstream.plans import store as st
+from loomstream.queries import landed_in_parts
 from loomstream.sources.fixtures import Views
 from tests.conftest import SF
 
@@ -146,3 +147,17 @@ def test_digests_first(spark):
     nobody = vendor.withColumn("symbol", F.when(F.col("volume") != 5, F.col("symbol")))
     assert shown(joins.reconcile_by_digest(nobody, vendor)) == shown(joins.reconcile(nobody, vendor))
     assert joins.reconcile_by_digest(vendor.limit(0), vendor).count() == 40_000 and joins.reconcile_by_digest(vendor, vendor).count() == 0
+
+
+def test_landed_parts_grow_with_the_input(spark):
+    """Files for two batches, but no task gets a whole part: each task that makes rows writes its own files."""
+    seen = []
+    for tasks in (1, 6):
+        rows = spark.range(0, 3_000 * tasks, 1, tasks).selectExpr("concat('S', id % 7) AS symbol", "id AS volume", "'d' AS period")
+        path, files = landed_in_parts(rows, 2)
+        df = spark.read.schema(rows.schema).json(path)
+        sizes = [r["count"] for r in df.groupBy(F.input_file_name()).count().collect()]
+        assert sorted(map(tuple, df.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+        assert len(sizes) == 2 * tasks and files == tasks and max(sizes) < 2_000
+        seen.append(sorted({r.symbol for r in df.where("part = 1").select("symbol").distinct().collect()}))
+    assert seen[0] == seen[1] == [f"S{i}" for i in range(7)]
