@@ -8,9 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from loomstream.functions import scalar
 from loomstream.operators import audit, filters, joins, sessions
 from loomstream.plans import store as st
-from loomstream.queries import landed_in_parts
+from loomstream.queries import exported, landed_in_parts
 from loomstream.sources.fixtures import Views
 from tests.conftest import SF
 
@@ -161,3 +162,24 @@ def test_landed_parts_grow_with_the_input(spark):
         assert len(sizes) == 2 * tasks and files == tasks and max(sizes) < 2_000
         seen.append(sorted({r.symbol for r in df.where("part = 1").select("symbol").distinct().collect()}))
     assert seen[0] == seen[1] == [f"S{i}" for i in range(7)]
+
+
+def test_exports_are_made_once(spark):
+    """Rows that come out otherwise when they are made again are the same in both exports."""
+    rows = spark.range(50).withColumn("u", F.expr("reflect('java.util.UUID', 'randomUUID')"))
+    assert exported(rows).count() == 50
+
+
+def test_common_rows(spark):
+    schema = "a string, b double, c date"
+    make = lambda *rows: spark.createDataFrame(rows, schema)
+    left = make(*[("x", 1.0, None)] * 3, ("x", None, None), (None, None, None), (None, None, None), ("y", -0.0, None), ("z", float("nan"), None), ("only", 1.0, None))
+    right = make(*[("x", 1.0, None)] * 2, ("x", None, None), (None, None, None), ("y", 0.0, None), ("z", float("nan"), None), ("other", 1.0, None))
+    shown = lambda df: sorted(map(str, df.collect()))
+    assert shown(joins.common_rows(left, right)) == shown(left.intersectAll(right)) and left.intersectAll(right).count() == 6
+
+
+def test_dates_are_read_as_the_formatter_reads_them(spark):
+    texts = ["2024-01-05", "2024-1-5", "2024-02-30", "2023-02-29", "2024-02-29", "0000-01-01", "0001-01-01", "9999-12-31", "12024-01-05", "2024-01-05 ", " 2024-01-05", "2024-01-05\n", "2024-01-1 ", "2024-01", "2024", "20240105", "bad", "", "-", "2024-13-01", "2024-01-05T00:00", "+2024-01-05", "-2024-01-05", "\u0662\u0660\u0662\u0664-01-05", None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string").select("x", scalar.safe_date("x").cast("string").alias("got"), F.try_to_date("x", "yyyy-M-d").cast("string").alias("want"))
+    assert [tuple(r) for r in df.collect() if r.got != r.want] == []
