@@ -62,7 +62,7 @@ U8, U1 = np.dtype("<u8"), np.uint64(1)
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 MASK40 = np.uint64((1 << 40) - 1)
 RADIX = 0x9E3779B97F4A7C15 | 1
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -137,6 +137,29 @@ def from_float_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(whole(data), np.uint8).reshape(4, -1).T).view("<f4").ravel().astype(np.float64)
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of integers (0 or more), rising, and the place of each integer among them."""
+    values = values.astype(np.int64, copy=False)
+    bits = len(values).bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 63:
+        return np.unique(values, return_inverse=True)
+    both = np.sort((values << bits) | np.arange(len(values)))  # value and index as one number, which sorts faster than indices by value
+    at = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    place = np.empty(len(both), np.int32)
+    place[at] = np.cumsum(new, dtype=np.int32) - 1
+    return both[new], place
+
+
+def dealt(home: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The indices by shard, in their order within each, and where each shard's begin."""
+    bits = len(home).bit_length()
+    order = np.sort((home << bits) | np.arange(len(home))) & ((1 << bits) - 1)
+    return order, np.concatenate([[0], np.cumsum(np.bincount(home, minlength=shards))])
+
+
 @dataclass
 class Group:
     """The distinct words and cells of a group of documents, in the order in which shards see them."""
@@ -144,11 +167,12 @@ class Group:
     counts: np.ndarray  # tokens of each document
     word_of: np.ndarray  # of each token, its place in words
     cell_of: np.ndarray  # of each token, its place in the cells
-    words: np.ndarray  # sorted hashes
+    words: np.ndarray  # hashes, sorted by their low 40 bits, then whole
     word_count: np.ndarray  # in training documents
     context: np.ndarray  # of each cell, a 40-bit hash
     context_place: np.ndarray  # place of a cell's context in words
     dish: np.ndarray  # 40-bit hash
+    dish_place: np.ndarray
     cell_count: np.ndarray
     cell_order: list[np.ndarray]  # of each shard, its cells by context and dish
     word_order: list[np.ndarray]
@@ -160,36 +184,37 @@ def word_shard(dish: np.ndarray, shards: int) -> np.ndarray:
 
 def grouped(text: list[str], train: np.ndarray, shards: int, hot: np.ndarray, table: tuple) -> Group:
     w, counts = token_hashes(text, table)
-    ends = np.cumsum(counts)
-    words, word_of = np.unique(w, return_inverse=True)
+    met, words = pd.factorize(w)
+    by_low = np.lexsort((words, words & MASK40))  # whatever the order of the documents
+    words, rank = words[by_low], np.empty(len(words), np.int64)
+    rank[by_low] = np.arange(len(words))
+    word_of = rank[met]
     learnt = np.repeat(train, counts).astype(np.float64)
     before = np.empty(len(w), np.int64)
     before[1:] = word_of[:-1]
-    before[np.concatenate([[0], ends[:-1]])] = np.searchsorted(words, END)  # a text begins
-    before *= len(words)
-    before += word_of
-    cells, cell_of = np.unique(before, return_inverse=True)
-    del w, before
+    before[np.cumsum(counts) - counts] = np.flatnonzero(words == END)[0]  # a text begins
+    del w, met
+    bits = len(words).bit_length()
+    cells, cell_of = distinct((before << bits) | word_of)
+    del before
     word_of, cell_of = word_of.astype(np.int32), cell_of.astype(np.int32)  # a group has fewer tokens than that
-    place = cells // len(words)
-    context, dish = words[place], words[cells % len(words)] & MASK40
+    place, dish_place = cells >> bits, cells & ((1 << bits) - 1)
     del cells
-    spread = np.isin(context, hot)
-    shard = np.where(spread, mix(context ^ (dish * M2)) % np.uint64(shards), mix(context) % np.uint64(shards)).astype(np.int64)
-    context = context & MASK40
-    order = np.lexsort((dish, context, shard)).astype(np.int32)
-    at = np.searchsorted(shard[order], np.arange(shards + 1))
-    home = word_shard(words, shards)
-    by_home = np.argsort(home, kind="stable")
-    wat = np.searchsorted(home[by_home], np.arange(shards + 1))
+    low = words & MASK40
+    dish = low[dish_place]
+    shard = (mix(words) % np.uint64(shards)).astype(np.int64)[place]
+    spread = np.flatnonzero(np.isin(words, hot)[place])
+    shard[spread] = (mix(words[place[spread]] ^ (dish[spread] * M2)) % np.uint64(shards)).astype(np.int64)
+    order, at = dealt(shard, shards)
+    by_home, wat = dealt(word_shard(words, shards), shards)
     return Group(
-        counts, word_of, cell_of, words, np.bincount(word_of, learnt, len(words)).astype(np.int64), context, place, dish, np.bincount(cell_of, learnt, len(place)).astype(np.int64),
+        counts, word_of, cell_of, words, np.bincount(word_of, learnt, len(words)).astype(np.int64), low[place], place, dish, dish_place, np.bincount(cell_of, learnt, len(place)).astype(np.int64),
         [order[at[s] : at[s + 1]] for s in range(shards)], [by_home[wat[s] : wat[s + 1]] for s in range(shards)],
     )
 
 
 EXACT = 1024  # customers of a dish up to which the number of its tables has its exact distribution
-NEGLIGIBLE = 40.0  # natural logarithm of a ratio of weights below which a number of tables is not drawn
+NEGLIGIBLE = np.exp(-40.0)  # ratio of weights below which a number of tables is not drawn
 BLOCKS = 8
 
 
@@ -201,7 +226,7 @@ def log_arrangements(most: int, discount: float) -> np.ndarray:
         t = np.arange(1, c)
         out[c, 1:c] = out[c - 1, 1:c] + np.log(c - 1 - discount * t)  # the last customer joins a table
         out[c, 1 : c + 1] = np.logaddexp(out[c, 1 : c + 1], out[c - 1, :c])  # or opens one
-    return out
+    return np.asfortranarray(out)  # read by t
 
 
 def seat(count: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, strength: float, arrangements: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -209,27 +234,33 @@ def seat(count: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: fl
 
     ``others``: tables of other dishes in the restaurant; ``parent``: the dish's probability there.
     t tables of c customers have the weight S(c, t) times the product over i < t of
-    (strength + discount * (others + i)) * parent; one t is drawn by the largest of
-    logarithm plus Gumbel noise. Of dishes with more than EXACT customers the first 32 come
-    one at a time, later ones in batches of an eighth of those seated.
+    (strength + discount * (others + i)) * parent. Weights are made from t to t + 1, and t takes the
+    place of what was drawn so far with the chance of its share in the sum up to it. Of dishes with more
+    than EXACT customers the first 32 come one at a time, later ones in batches of an eighth of those seated.
     """
     tables = np.minimum(count, 1).astype(np.float64)
-    few = np.flatnonzero((count > 1) & (count <= EXACT))
-    c, rest, p = count[few], strength + discount * others[few], np.log(parent[few])
-    weight, top, best, drawn = np.zeros(len(few)), np.full(len(few), -np.inf), np.full(len(few), -np.inf), np.ones(len(few))
-    t = 0
+    two = np.flatnonzero(count == 2)
+    apart = (strength + discount * (others[two] + 1)) * parent[two]  # to 1 - discount at one table
+    tables[two] += rng.random(len(two)) * (1 - discount + apart) < apart
+    few = np.flatnonzero((count > 2) & (count <= EXACT))
+    c, rest, p = count[few], strength + discount * others[few], parent[few]
+    weight, total, drawn = np.ones(len(few)), np.ones(len(few)), np.ones(len(few))
+    step, t = np.zeros(arrangements.shape[0]), 1
     while len(few):
+        step[: t + 1] = 0  # so that c customers have no weight of more than c tables
+        step[t + 1 :] = np.exp(arrangements[t + 1 :, t + 1] - arrangements[t + 1 :, t])
+        weight *= step[c] * p * (rest + discount * t)
+        total += weight
         t += 1
-        weight += np.log(rest + discount * (t - 1)) + p
-        value = arrangements[c, t] + weight
-        noisy = value - np.log(rng.standard_exponential(len(few)))
-        better = noisy > best
-        best, drawn, top = np.where(better, noisy, best), np.where(better, t, drawn), np.maximum(top, value)
+        drawn[rng.random(len(few)) * total < weight] = t
+        if total.max() > 1e150:  # only ratios count; a step is far from the 1e150 that are left
+            scale = np.where(total > 1e100, 1e-100, 1.0)
+            weight, total = weight * scale, total * scale
         if t < 8 or t % 8 == 0 or t == arrangements.shape[1] - 1:
-            # weights are log-concave in t, so from here on all are below a 10**17th of the largest
-            more = (c > t) & (value > top - NEGLIGIBLE)
+            # weights are log-concave in t, so from here on all are below a 10**17th of the largest, which is a t-th of the sum at least
+            more = (c > t) & (weight * t > total * NEGLIGIBLE)
             tables[few[~more]] = drawn[~more]
-            few, c, rest, p, weight, top, best, drawn = (x[more] for x in (few, c, rest, p, weight, top, best, drawn))
+            few, c, rest, p, weight, total, drawn = (x[more] for x in (few, c, rest, p, weight, total, drawn))
     live = np.flatnonzero(count > EXACT)
     i = np.ones(len(live))
     while len(live):
@@ -249,34 +280,48 @@ def discount_of(count: np.ndarray) -> float:
 
 
 REQUEST = "shard int, gid int, u binary, nu binary, w binary, c binary, words binary, wc binary"
-TABLES = "shard int, words binary, customers binary, contexts binary, context_tables binary"
+TABLES = "shard int, words binary, customers binary, contexts binary, context_tables binary, seats binary"
 REPLY = "gid int, shard int, kind int, a binary, b binary, c binary, totals array<double>"
 
 
-def seated(rows: pd.DataFrame, shards: int, hot: np.ndarray, params: Params):
-    """Merges the requests of a context shard and samples its seating.
+@dataclass
+class Merged:
+    """The cells of all requests of a context shard."""
+
+    contexts: np.ndarray
+    dishes: np.ndarray
+    context_of: np.ndarray  # of each cell, its place in contexts
+    dish_of: np.ndarray
+    count: np.ndarray
+    cell: np.ndarray  # of each cell of each request, its place
+    bounds: np.ndarray  # where each request's begin
+
+
+def merged(rows: pd.DataFrame) -> Merged:
+    """rows: the requests by gid."""
+    dish = [unpack(x, 5) for x in rows["w"]]
+    bounds = np.cumsum([0, *(len(x) for x in dish)])
+    contexts, context = distinct(np.concatenate([unpack(x, 5) for x in rows["u"]]))
+    context = np.repeat(context, np.concatenate([unpack(x, 4) for x in rows["nu"]]).astype(np.int64))
+    dishes, dish = distinct(np.concatenate(dish))
+    bits = len(dishes).bit_length()
+    cells, cell = distinct((context.astype(np.int64) << bits) | dish)
+    count = np.bincount(cell, np.concatenate([unpack(x, 4) for x in rows["c"]]).astype(np.float64), len(cells)).astype(np.int64)
+    return Merged(contexts.astype(np.uint64), dishes.astype(np.uint64), cells >> bits, cells & ((1 << bits) - 1), count, cell, bounds)
+
 
-    Returns the distinct contexts and dishes, the tables of each in every sampled sweep, of each cell
-    its count and the sum of its tables over those sweeps, the discount, and of each request the places of its cells.
+def seated(m: Merged, shard: int, shards: int, hot: np.ndarray, params: Params):
+    """Samples the seating of a context shard.
+
+    Returns the tables of each context and dish in every sampled sweep, of each cell
+    the sum of its tables over those sweeps, and the discount.
 
     A dish's probability in the parent is, as far as this shard sees, the share of the tables that
     serve it elsewhere, and that of a dish with one table where there are none.
     """
-    rows = rows.sort_values("gid", kind="stable")
-    context, dish, count, sizes = [], [], [], []
-    for u, nu, w, c in zip(rows["u"], rows["nu"], rows["w"], rows["c"], strict=True):
-        context.append(np.repeat(unpack(u, 5), unpack(nu, 4).astype(np.int64)))
-        dish.append(unpack(w, 5))
-        count.append(unpack(c, 4).astype(np.int64))
-        sizes.append(len(dish[-1]))
-    context, dish, count = np.concatenate(context), np.concatenate(dish), np.concatenate(count)
-    _, first, cell = np.unique(mix(context) ^ mix(dish + M1), return_index=True, return_inverse=True)
-    cell = cell.astype(np.int32)
-    count = np.bincount(cell, count, len(first)).astype(np.int64)
-    contexts, iu = np.unique(context[first], return_inverse=True)
-    dishes, iw = np.unique(dish[first], return_inverse=True)
+    contexts, dishes, iu, iw, count = m.contexts, m.dishes, m.context_of, m.dish_of, m.count
     discount = discount_of(count)
-    rng = np.random.default_rng([params.seed, int(rows["shard"].iloc[0]) if len(rows) else 0])
+    rng = np.random.default_rng([params.seed, shard])
     t = np.minimum(count, 1).astype(np.float64)
     of_context, of_dish, total = np.bincount(iu, t, len(contexts)), np.bincount(iw, t, len(dishes)), t.sum()
     scale = np.where(np.isin(contexts, hot & MASK40), float(shards), 1.0)  # a frequent context sits in all shards
@@ -298,7 +343,7 @@ def seated(rows: pd.DataFrame, shards: int, hot: np.ndarray, params: Params):
             by_context.append(of_context)
             by_dish.append(of_dish)
             summed += t
-    return rows, contexts, np.stack(by_context), dishes, np.stack(by_dish), count, summed, discount, cell, np.cumsum([0, *sizes])
+    return np.stack(by_context), np.stack(by_dish), summed, discount
 
 
 COUNT_BYTES = 6  # of a word's count in all training documents; its high planes are zeros, which shuffles compress away
@@ -320,26 +365,39 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         return pd.DataFrame(out, columns=[c.split()[0] for c in REQUEST.split(", ")])
 
     def tables(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-        _, contexts, of_context, dishes, of_dish, _, _, discount, _, _ = seated(asked, shards, hot, params)
-        known, opened = of_dish[0] > 0, of_context[0] > 0
-        home, chome = word_shard(dishes, shards), word_shard(contexts, shards)
-        out = []
-        for s in range(shards):
-            k, c = np.flatnonzero((home == s) & known), np.flatnonzero((chome == s) & opened)
-            out.append((s, pack(dishes[k], 5), pack(of_dish[:, k].ravel(), 5), pack(contexts[c], 5), float_planes(discount * of_context[:, c].ravel())))
+        m = merged(asked.sort_values("gid", kind="stable"))
+        of_context, of_dish, summed, discount = seated(m, int(key[0]), shards, hot, params)
+        known, opened = np.flatnonzero(of_dish[0] > 0), np.flatnonzero(of_context[0] > 0)
+        order, bounds = dealt(word_shard(m.dishes[known], shards), shards)
+        known = known[order]
+        order, cbounds = dealt(word_shard(m.contexts[opened], shards), shards)
+        opened = opened[order]
+        out = [(int(key[0]), b"", b"", b"", b"", pack(summed[m.count > 1], COUNT_BYTES))]  # kept for answers(); all other customers sit alone
+        for s in np.flatnonzero((np.diff(bounds) > 0) | (np.diff(cbounds) > 0)).tolist():
+            k, c = known[bounds[s] : bounds[s + 1]], opened[cbounds[s] : cbounds[s + 1]]
+            out.append((s, pack(m.dishes[k], 5), pack(of_dish[:, k].ravel(), 5), pack(m.contexts[c], 5), float_planes(discount * of_context[:, c].ravel()), b""))
         return pd.DataFrame(out, columns=[c.split()[0] for c in TABLES.split(", ")])
 
-    def cells(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-        asked, _, _, _, _, count, summed, discount, cell, bounds = seated(asked, shards, hot, params)
-        out = []
+    def cells(shard: int, asked: pd.DataFrame, seats: list[bytes]) -> list[tuple]:
+        """The counts and tables of each request's cells, from the seating that tables() has sampled."""
+        m = merged(asked)
+        summed = params.samples * np.minimum(m.count, 1)
+        summed[m.count > 1] = unpack(next(filter(len, seats)), COUNT_BYTES) if (m.count > 1).any() else 0
+        discount, out = discount_of(m.count), []
         for i, gid in enumerate(asked["gid"]):
-            own = cell[bounds[i] : bounds[i + 1]]
-            out.append((gid, key[0], 0, pack(count[own], COUNT_BYTES), pack(summed[own], COUNT_BYTES), b"", [discount]))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
+            own = m.cell[m.bounds[i] : m.bounds[i + 1]]
+            out.append((gid, shard, 0, pack(m.count[own], COUNT_BYTES), pack(summed[own], COUNT_BYTES), b"", [discount]))
+        return out
 
-    def parent(key: tuple, asked: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+    def answers(key: tuple, asked: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         if not len(asked):
             return pd.DataFrame([], columns=[c.split()[0] for c in REPLY.split(", ")])
+        asked = asked.sort_values("gid", kind="stable")
+        out = [*cells(int(key[0]), asked, sent["seats"].tolist()), *parent(int(key[0]), asked[["gid", "words", "wc"]], sent)]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
+
+    def parent(shard: int, asked: pd.DataFrame, sent: pd.DataFrame) -> list[tuple]:
+        """The tables and customers of each request's words; samples the seating of the parent."""
         words = [unpack(x, 7) for x in asked["words"]]
         flat = np.concatenate(words)
         names, place = np.unique(flat, return_inverse=True)
@@ -363,7 +421,7 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         known = count > 0
         seats = customers.astype(np.int64)
         discount = discount_of(seats[0][known])
-        rng = np.random.default_rng([params.seed, 1 << 20, int(key[0])])
+        rng = np.random.default_rng([params.seed, 1 << 20, shard])
         base = np.full(len(names), 1 / max(1.0, shards * known.sum() + 1))
         blocks = np.array_split(rng.permutation(len(names)), BLOCKS)
         arrangements = log_arrangements(int(min(EXACT, seats.max(initial=1))), discount)
@@ -381,8 +439,8 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
             k = place[at : at + len(own)]
             at += len(own)
             both = np.concatenate([customers[:, k].ravel(), opened[:, k].ravel()])
-            out.append((gid, key[0], 1, pack(count[k], COUNT_BYTES), pack(both, 5), float_planes(ctables[:, k].ravel()), totals))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
+            out.append((gid, shard, 1, pack(count[k], COUNT_BYTES), pack(both, 5), float_planes(ctables[:, k].ravel()), totals))
+        return out
 
     def finish(key: tuple, docs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -406,12 +464,10 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         # each training token but an end precedes a token, and each end stands for the beginning of its text,
         # so a context's customers are the training tokens of its word
         denominator = params.strength + count[at]
-        dish_place = np.zeros(len(g.dish), np.int64)
-        dish_place[g.cell_of] = g.word_of
         passed = np.zeros(len(g.dish))  # what the context leaves to its parent, averaged over the sweeps
         for s in range(samples):
             p0 = (number[s] + (params.strength + spare[s]) / (v + 1)) / (params.strength + customers[s])
-            passed += (params.strength + ctables[s][at]) * p0[dish_place] / samples
+            passed += (params.strength + ctables[s][at]) * p0[g.dish_place] / samples
         log_p = np.log10((weight + passed) / denominator)
         base = np.log10(count + 0.1)
         starts = np.cumsum(g.counts) - g.counts
@@ -424,9 +480,8 @@ def scored(rows: DataFrame, shards: int, hot: np.ndarray, params: Params) -> Dat
         )[columns]
 
     asked = rows.groupBy("gid").applyInPandas(ask, REQUEST)
-    by_shard = asked.groupBy("shard")
-    sent = by_shard.applyInPandas(tables, TABLES)
-    replies = by_shard.applyInPandas(cells, REPLY).unionByName(asked.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(parent, REPLY))
+    sent = asked.groupBy("shard").applyInPandas(tables, TABLES)
+    replies = asked.groupBy("shard").cogroup(sent.groupBy("shard")).applyInPandas(answers, REPLY)
     return rows.groupBy("gid").cogroup(replies.groupBy("gid")).applyInPandas(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

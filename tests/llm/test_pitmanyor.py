@@ -141,3 +141,52 @@ def test_rows_of_one_id_are_spread_and_settings_do_not_matter(spark):
         spark.conf.set("spark.sql.shuffle.partitions", base)
     assert len(runs[0]) == 350 and [r[:2] for r in runs[0]] == [r[:2] for r in runs[1]] and np.allclose([r[3] for r in runs[0]], [r[3] for r in runs[1]])
     assert np.allclose([r[2] for r in runs[0]], [r[2] for r in runs[1]])
+
+
+def test_requests_are_seated_once(spark):
+    """One stage samples the seating of a shard; what answers the requests takes it from there."""
+    df = spark.createDataFrame([(i, f"some words {i % 7}") for i in range(50)], "doc_id long, text string")
+    plan = py.language_model_scores(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 3 and "tables(" in plan and "cells(" not in plan  # requests for both, and the seating
+
+
+def test_groups_do_not_depend_on_the_order_of_documents():
+    """A group asks and scores in the same order of words and cells, whichever order its documents come in."""
+    rng = np.random.default_rng(3)
+    text = [" ".join(f"w{k}" for k in rng.zipf(1.3, 40) % 500) for _ in range(60)] + [""]
+    train = rng.random(len(text)) < 0.8
+    hot = np.unique(py.token_hashes(["w1 w2"], py.powers(100))[0])
+    back = np.arange(len(text))[::-1]
+    a, b = py.grouped(text, train, 5, hot, py.powers(100)), py.grouped([text[i] for i in back], train[back], 5, hot, py.powers(100))
+    for k in ("words", "word_count", "context", "context_place", "dish", "dish_place", "cell_count"):
+        assert (getattr(a, k) == getattr(b, k)).all()
+    for k in ("cell_order", "word_order"):
+        parts = getattr(a, k)
+        assert all((x == y).all() for x, y in zip(parts, getattr(b, k), strict=True))
+        assert (np.sort(np.concatenate(parts)) == np.arange(sum(map(len, parts)))).all()
+    assert (a.dish_place[a.cell_of] == a.word_of).all() and (a.dish == a.words[a.dish_place] & py.MASK40).all() and (a.context == a.words[a.context_place] & py.MASK40).all()
+    cells = {(int(c), int(d)) for c, d in zip(a.context, a.dish)}
+    assert len(cells) == len(a.dish)
+    for part in a.cell_order:
+        assert (np.diff(a.context[part].astype(np.int64)) >= 0).all()
+
+
+def test_distinct_and_dealt():
+    rng = np.random.default_rng(4)
+    for values in (np.zeros(0, np.int64), np.array([5]), rng.integers(0, 50, 400), rng.integers(0, 1 << 40, 400), rng.integers((1 << 62), (1 << 63) - 1, 400)):
+        got, want = py.distinct(values), np.unique(values, return_inverse=True)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    home = rng.integers(0, 6, 100)
+    order, at = py.dealt(home, 8)
+    assert all((order[at[s] : at[s + 1]] == np.flatnonzero(home == s)).all() for s in range(8))
+
+
+def test_weights_beyond_float_range():
+    """Weights that rise by more than floating point holds give the distribution that their logarithms give."""
+    rng, count, others, parent, d = np.random.default_rng(5), 900, 1e7, 0.9, 0.9
+    logs = py.log_arrangements(count, d)
+    t = np.arange(1, count + 1)
+    want = logs[count, 1:] + np.cumsum(np.log((1 + d * (others + t - 1)) * parent))
+    p = np.exp(want - want.max())
+    got = py.seat(np.full(3000, count), np.full(3000, others), np.full(3000, parent), d, 1.0, logs, rng)
+    assert abs(got.mean() - (p / p.sum()) @ t) < 0.2 and want.max() - want[0] > 1500
