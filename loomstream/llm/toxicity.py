@@ -10,8 +10,8 @@ to all of them, and cosines are taken in the space of the examples' terms.
 Examples with equal vectors become one, with its number of labels.
 
 The index keeps for each block of examples the weights of the most frequent terms as
-a table, the postings of all others, and each term's largest weight; a query's blocks are visited by falling upper bound until no other
-can reach the k-th best cosine, so the neighbours are exact. They vote with weights
+a table, the postings of all others, and each term's largest weight; a query visits every block whose
+upper bound reaches its k-th best cosine so far, so the neighbours are exact. They vote with weights
 that fall with their distance, and a logistic curve fitted to the leave-one-out votes
 of the examples makes the votes probabilities. The neighbours are the evidence.
 
@@ -26,9 +26,11 @@ neighbours go to the smaller example. Rows repeat as often as they come in; a nu
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,8 @@ from .quality import labelled_sample
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
 WORD = re.compile(r"\w+")
 BEGINNINGS = (5, 7)
+#: Of the characters that Latin-1 has, a space for those that no word has.
+SPACED = "".join(c if WORD.match(c) else " " for c in map(chr, range(256))).encode("latin-1")
 
 
 @dataclass(frozen=True)
@@ -54,9 +58,18 @@ class Params:
     block: int = 256
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text in lower case."""
+    low = text.lower()
+    try:
+        return low.encode("latin-1").translate(SPACED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return WORD.findall(low)
+
+
 def terms_of(text: str) -> Counter:
     """How often each word, and each beginning of a longer word (marked by a caret), occurs."""
-    words = Counter(WORD.findall(text.lower()))
+    words = Counter(words_of(text))
     out = Counter(words)
     for w, n in words.items():
         for size in BEGINNINGS:
@@ -65,32 +78,54 @@ def terms_of(text: str) -> Counter:
     return out
 
 
-class Finder:
-    """Finds given terms in texts without counting any others."""
+def joined_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All integers of the ranges, one range after another."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
+class Finder(dict):
+    """Finds given terms in texts without counting any others; numbers the words that it meets."""
 
     def __init__(self, place: dict[str, int]):
+        super().__init__()
         self.place = place
         tables = [(k, {t[1:]: i for t, i in place.items() if t[0] == "^" and len(t) == k + 1}) for k in BEGINNINGS]
         self.beginnings = [(k, t) for k, t in tables if t]
-        self.known: dict[str, tuple[int, ...]] = {}  # places of words met before
+        self.forget()
 
-    def places(self, w: str) -> tuple[int, ...]:
+    def forget(self) -> None:
+        self.clear()
+        self.starts, self.flat = array("q", [0, 0]), array("q")  # places of words, one word after another; word 0 stands for those without any
+
+    def __missing__(self, w: str) -> int:
         own = [self.place[w]] if w in self.place else []
-        return (*own, *[t[w[:k]] for k, t in self.beginnings if len(w) > k and w[:k] in t])
-
-    def __call__(self, text: str) -> dict[int, int]:
-        """How often each term occurs, by its place."""
-        found: dict[int, int] = {}
-        known = self.known
-        if len(known) > 300_000:
-            known.clear()
-        for w, n in Counter(WORD.findall(text.lower())).items():
-            at = known.get(w)
-            if at is None:
-                at = known[w] = self.places(w)
-            for d in at:
-                found[d] = found.get(d, 0) + n
-        return found
+        for k, t in self.beginnings:
+            if len(w) > k and w[:k] in t:
+                own.append(t[w[:k]])
+        if not own:
+            return 0  # not remembered, as most such words come once
+        number = self[w] = len(self.starts) - 1
+        self.flat.extend(own)
+        self.starts.append(len(self.flat))
+        return number
+
+    def found(self, given: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each text with each term that it has, by its place (rising in a text), and how often."""
+        if len(self) > 300_000:
+            self.forget()
+        words = [words_of(t) for t in given]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        met = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, lengths.sum())
+        starts, flat = np.array(self.starts), np.array(self.flat)
+        many = starts[met + 1] - starts[met]
+        owner = np.repeat(np.repeat(np.arange(len(words)), lengths), many)
+        key = np.sort((owner << 32) | flat[joined_ranges(starts[met], many)])
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        return key[first] >> 32, key[first] & (2**32 - 1), np.diff(np.append(first, len(key)))
+
+
+#: Texts whose terms are found at once.
+TOGETHER = 128
 
 
 def relevance(sample: DataFrame, params: Params) -> dict[str, float]:
@@ -128,9 +163,10 @@ def document_frequencies(docs: DataFrame, place: dict[str, int]) -> np.ndarray:
         find = Finder(shared.value)
         n = np.zeros(len(find.place) + 1, np.int64)
         for b in batches:
-            for text in b["text"]:
-                n[-1] += 1
-                n[list(find(text))] += 1
+            for first in range(0, len(b), TOGETHER):
+                _, dims, _ = find.found(b["text"].iloc[first : first + TOGETHER].tolist())
+                n[:-1] += np.bincount(dims, minlength=len(find.place))
+            n[-1] += len(b)
         at = np.flatnonzero(n)
         yield pd.DataFrame({"i": at, "n": n[at]})
 
@@ -140,11 +176,6 @@ def document_frequencies(docs: DataFrame, place: dict[str, int]) -> np.ndarray:
     return out
 
 
-def joined_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """All integers of the ranges, one range after another."""
-    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-
-
 @dataclass
 class Block:
     """A block of examples: weights of the frequent terms, and of the others their postings.
@@ -176,20 +207,21 @@ class Index:
     prior: float = 0.0
     curve: tuple[float, float] = (0.0, 1.0)
     frequent: int = 256  # terms of the first places, which many examples have, so that postings would save little
-    together: int = 128  # queries that are compared at once
+    together: int = 32  # queries that are compared at once; with more, their shared postings take hundreds of megabytes
     blocks: list[Block] = field(default_factory=list)
     find: Finder | None = None
     tops: np.ndarray | None = None  # term x block
+    spots: np.ndarray | None = None  # block x term: the term's place among those with postings there, or -1
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Dimensions (rising) and weights of the unit vector of a text."""
+    def vectors(self, given: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Dimensions (rising) and weights of the unit vector of each text."""
         if self.find is None:
             self.find = Finder(self.place)
-        found = self.find(text)
-        dims = np.fromiter(found.keys(), np.int64, len(found))
-        w = np.log1p(np.fromiter(found.values(), float, len(found))) * self.scale[dims]
-        order = np.argsort(dims)
-        return dims[order], (w / np.sqrt(w @ w) if len(w) else w)[order].round(6)
+        owner, dims, n = self.find.found(given)
+        w = np.log1p(n) * self.scale[dims]
+        w = (w / np.sqrt(np.bincount(owner, w * w, len(given)))[owner]).round(6)
+        bounds = np.searchsorted(owner, np.arange(len(given) + 1)).tolist()
+        return [(dims[i:j], w[i:j]) for i, j in zip(bounds, bounds[1:])]
 
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         self.blocks = []
@@ -207,7 +239,7 @@ class Index:
             terms, starts = np.unique(dims, return_index=True)
             tops = np.maximum.reduceat(weights, starts) if len(terms) else np.zeros(0)
             self.blocks.append(Block(first, len(own), frequent, terms, np.append(starts, len(dims)), members, weights, tops))
-        self.tops = None
+        self.tops = self.spots = None
 
     def bounds(self, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The largest cosine that an example of each block can have."""
@@ -218,15 +250,24 @@ class Index:
                 self.tops[b.terms, i] = b.tops
         return weights @ self.tops[dims] * (1 + 1e-6)  # the table is rounded
 
-    def cosines(self, b: Block, head: np.ndarray, owner: np.ndarray, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def places(self, i: int, dims: np.ndarray) -> np.ndarray:
+        """Of terms, their places among those with postings in a block, or -1."""
+        if self.spots is None:
+            self.spots = np.full((len(self.blocks), max(len(self.place), self.frequent)), -1, np.int32)
+            for own, b in zip(self.spots, self.blocks, strict=True):
+                own[b.terms] = np.arange(len(b.terms))
+        return self.spots[i, dims]
+
+    def cosines(self, i: int, head: np.ndarray, owner: np.ndarray, dims: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Queries x examples of a block: cosines in millionths.
 
         ``head``: a row of weights of the frequent terms for each query; ``owner``, ``dims``, ``weights``: the queries' other terms.
         """
+        b = self.blocks[i]
         own = head @ b.frequent.T
         if len(b.terms) and len(dims):
-            at = np.minimum(np.searchsorted(b.terms, dims), len(b.terms) - 1)
-            shared = b.terms[at] == dims
+            at = self.places(i, dims)
+            shared = np.flatnonzero(at >= 0)
             at, w, q = at[shared], weights[shared], owner[shared]
             starts = b.starts[at]
             lengths = b.starts[at + 1] - starts
@@ -240,9 +281,8 @@ class Index:
             yield from self.nearest_together(queries[first : first + self.together], k)
 
     def nearest_together(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The same for a few queries, each of which visits its next block as long as that can hold one of its k."""
+        """The same for a few queries, each of which visits the blocks that can hold one of its k; those that promise most come first."""
         bounds = np.stack([self.bounds(*q) for q in queries])
-        visits = np.argsort(-bounds, axis=1, kind="stable")
         dims, weights = (np.concatenate([q[i] for q in queries]) for i in range(2))
         owner = np.repeat(np.arange(len(queries)), [len(d) for d, _ in queries])
         often = dims < self.frequent
@@ -251,21 +291,22 @@ class Index:
         dims, weights, owner = dims[~often], weights[~often], owner[~often]
         # one number for a cosine and an example: larger for the larger cosine, then for the smaller example; 0 for none
         best = np.zeros((len(queries), k), np.int64)
-        for visit in range(len(self.blocks)):
-            at = visits[:, visit]
-            bound = bounds[np.arange(len(queries)), at]
-            going = (bound > 0) & (bound * 1e6 >= (best[:, 0] >> 32) - 1)
-            for i in np.unique(at[going]).tolist():
-                b = self.blocks[i]
-                own = np.flatnonzero(going & (at == i))
+        for i in np.argsort(-bounds.sum(axis=0), kind="stable").tolist():
+            first = self.blocks[i].first
+            own = np.flatnonzero((bounds[:, i] > 0) & (bounds[:, i] * 1e6 >= (best[:, 0] >> 32) - 1))
+            if not len(own):
+                continue
+            if len(own) == len(queries):
+                cos = self.cosines(i, head, owner, dims, weights)
+            else:
                 row = np.full(len(queries), -1)
                 row[own] = np.arange(len(own))
-                kept = row[owner] >= 0
-                cos = self.cosines(b, head[own], row[owner[kept]], dims[kept], weights[kept])
-                found = np.where(cos > 0, (cos << 32) + (2**32 - 1 - b.first - np.arange(b.size)), 0)
-                both = np.concatenate([best[own], found], axis=1)
-                best[own] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-            best.sort(axis=1)
+                kept = np.flatnonzero(row[owner] >= 0)
+                cos = self.cosines(i, head[own], row[owner[kept]], dims[kept], weights[kept])
+            found = np.where(cos > 0, (cos << 32) + (2**32 - 1 - first - np.arange(cos.shape[1])), 0)
+            both = np.concatenate([best[own], found], axis=1)
+            best[own] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]  # the smallest of the k in front
+        best.sort(axis=1)
         for own in best[:, ::-1]:
             own = own[own > 0]
             yield 2**32 - 1 - (own & (2**32 - 1)), (own >> 32) / 1e6
@@ -283,12 +324,15 @@ class Index:
         v = min(max(vote, 1e-4), 1 - 1e-4)
         return float(1 / (1 + np.exp(-(a + b * np.log(v / (1 - v))))))
 
-    def scores(self, given: Iterable[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    def scores(self, given: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Score, and ids and cosines of the nearest examples, of each text."""
         if not len(self.ids):
             return [(self.prior, np.zeros(0, np.int64), np.zeros(0)) for _ in given]
-        found = self.nearest([self.vector(t) for t in given], self.k)
-        return [(self.probability(self.vote(who, cos)), self.ids[who], cos) for who, cos in found]
+        out = []
+        for first in range(0, len(given), TOGETHER):
+            found = self.nearest(self.vectors(given[first : first + TOGETHER]), self.k)
+            out += [(self.probability(self.vote(who, cos)), self.ids[who], cos) for who, cos in found]
+        return out
 
 
 def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -314,7 +358,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
         return index
     words: Counter = Counter()
     for text in rows["text"]:
-        words.update(set(WORD.findall(text.lower())))
+        words.update(set(words_of(text)))
     # frequent terms come first, so that examples in the order of their dimensions lie beside others of their kind
     terms = sorted(words, key=lambda w: (-words[w], w)) + sorted(t for t in leaning if t[0] == "^")
     index.place = {t: i for i, t in enumerate(terms)}
@@ -322,14 +366,18 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
     factor = np.array([leaning.get(t, params.background) for t in terms])
     index.scale = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1) * factor
     merged: dict[tuple, list] = {}
-    for doc_id, text, label in zip(rows["doc_id"], rows["text"], rows["label"], strict=True):
-        dims, weights = index.vector(text)
-        own = merged.setdefault((tuple(dims.tolist()), tuple(weights.tolist())), [doc_id, 0.0, 0.0])
+    del words, terms
+    given = rows["text"].tolist()
+    vectors = chain.from_iterable(index.vectors(given[i : i + TOGETHER]) for i in range(0, len(given), TOGETHER))
+    for doc_id, (dims, weights), label in zip(rows["doc_id"], vectors, rows["label"], strict=True):
+        # bytes of big-endian numbers of 0 or more stand in the order of the numbers, and take a tenth of their tuples' memory
+        own = merged.setdefault((dims.astype(">i4").tobytes(), weights.astype(">f8").tobytes()), [doc_id, 0.0, 0.0])
         own[1] += 1
         own[2] += label
     keys = sorted(merged)
     index.ids, index.n, index.pos = (np.array([merged[k][i] for k in keys]) for i in range(3))
-    vectors = [(np.array(d, np.int64), np.array(w)) for d, w in keys]
+    vectors = [(np.frombuffer(d, ">i4").astype(np.int64), np.frombuffer(w, ">f8").astype(float)) for d, w in keys]
+    del rows, given, merged, keys  # the driver is small
     index.build(vectors)
     votes, ys, ws = [], [], []
     for e, (who, cos) in enumerate(index.nearest(vectors, params.k)):
@@ -339,7 +387,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Index:
                 ys.append(label)
                 ws.append(count)
     index.curve = fit_curve(np.array(votes), np.array(ys), np.array(ws))
-    index.find = index.tops = None  # made again where they are needed, not sent
+    index.find = index.tops = index.spots = None  # made again where they are needed, not sent
     return index
 
 
@@ -351,7 +399,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, params: Params = Params(
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         for b in batches:
-            found = index.scores(b["text"])
+            found = index.scores(b["text"].tolist())
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": [s for s, _, _ in found], "evidence": [e for _, e, _ in found], "cosines": [c for _, _, c in found]})
 
     held_out = F.coalesce(crc_mod("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")

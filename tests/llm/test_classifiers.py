@@ -118,3 +118,44 @@ def test_toxic_rows_that_are_found(spark):
     own = toxicity.toxicity_scores(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
     toxic, clean = ([r.predicted for r in own if r.toxic == t] for t in (1, 0))
     assert len(toxic) > 100 and sum(toxic) >= 0.82 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_words_and_terms_found():
+    """Words by tables are those of the pattern, and the terms found those that are counted, whatever texts stand beside."""
+    given = ["Ab_c d-e  É\xa0ß ½ \x85x\x1cy", "", "çà et LÀ, là", "Ωmega 数据 a_1 İI", "K2 — “quoted” words", "".join(map(chr, range(1, 700))), "trash trashes Trashing trash"]
+    assert all(toxicity.words_of(t) == toxicity.WORD.findall(t.lower()) for t in given)
+    place = {t: i for i, t in enumerate(sorted({t for x in given[::2] for t in toxicity.terms_of(x)}))}
+    finder = toxicity.Finder(place)
+    for _ in range(2):
+        owner, dims, n = finder.found(given)
+        for i, x in enumerate(given):
+            want = {place[t]: k for t, k in toxicity.terms_of(x).items() if t in place}
+            own = owner == i
+            assert dict(zip(dims[own].tolist(), n[own].tolist())) == want and (np.diff(dims[own]) > 0).all()
+        finder.forget()
+    assert [len(x) for x in finder.found([])] == [0, 0, 0]
+
+
+def test_block_is_compared_once_with_the_queries_together(monkeypatch):
+    """Queries that promise different blocks most share each block's comparison, and find the nearest of all examples."""
+    rng = np.random.default_rng(2)
+    index = toxicity.Index(place={f"w{i}": i for i in range(400)}, block=16, frequent=20, together=128)
+
+    def vector():
+        dims = np.unique(rng.zipf(1.2, 30) % 400)
+        w = rng.random(len(dims)) + 0.1
+        return dims, (w / np.sqrt(w @ w)).round(6)
+
+    examples, queries = [vector() for _ in range(200)], [vector() for _ in range(100)]
+    index.build(examples)
+    calls, plain = [], index.cosines
+    monkeypatch.setattr(index, "cosines", lambda *a: calls.append(1) or plain(*a))
+    got = list(index.nearest(queries, 5))
+    assert len(calls) <= len(index.blocks)
+    matrix = np.zeros((200, 400))
+    for row, (d, w) in zip(matrix, examples, strict=True):
+        row[d] = w
+    for (d, w), (who, cos) in zip(queries, got, strict=True):
+        all_cos = np.rint(matrix[:, d] @ w * 1e6)
+        want = np.lexsort((np.arange(200), -all_cos))[:5]
+        assert (who == want).all() and np.allclose(cos, all_cos[want] / 1e6)
